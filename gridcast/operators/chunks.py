@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridcast.session import materialize
+
 CHUNK_COL = "_ck"
 OWN_COL = "_own"
 POS_COL = "_pos"
@@ -45,7 +47,8 @@ def chunk_size(before: int, after: int, minimum: int) -> int:
     return max(int(minimum), 4 * (int(before) + int(after)), 1)
 
 
-def positions(df: DataFrame, group: str, order: Sequence[str], pos_col: str = POS_COL) -> DataFrame:
+def positions(df: DataFrame, group: str, order: Sequence[str], pos_col: str = POS_COL,
+              persist: bool = True) -> DataFrame:
     """Add the 0-based row position within ``group`` ordered by ``order``.
 
     The frame is range-partitioned on ``(group, *order)`` (Spark samples the
@@ -63,9 +66,10 @@ def positions(df: DataFrame, group: str, order: Sequence[str], pos_col: str = PO
                  Window.partitionBy(group).orderBy("_pid")
                  .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
              .drop("_n"))
-    return (s.join(stats, [group, "_pid"])
-            .withColumn(pos_col, F.col("_off") + F.col("_rid") - F.col("_rid0"))
-            .drop("_rid", "_pid", "_rid0", "_off"))
+    out = (s.join(stats, [group, "_pid"])
+           .withColumn(pos_col, F.col("_off") + F.col("_rid") - F.col("_rid0"))
+           .drop("_rid", "_pid", "_rid0", "_off"))
+    return materialize(out) if persist else out
 
 
 def group_median(df: DataFrame, group: str, value: str, out: str = "median") -> DataFrame:

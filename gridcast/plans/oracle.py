@@ -3,8 +3,8 @@
 Written from the operator semantics, not from the Spark plans: windows use
 plain ``partition by site`` frames and band joins, which is fine at the
 check's scale. Each builder returns CTE text so queries compose like the
-Spark pipeline does. Output doubles are rounded to 6 places (and -0.0 is
-normalised) exactly as :func:`gridcast.plans.queries.finish` does.
+Spark pipeline does. Output doubles are rounded to 9 places with the same
+binary formula as :func:`gridcast.plans.queries.finish` does.
 """
 
 from __future__ import annotations
@@ -38,9 +38,10 @@ HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
 
 
-def rd(expr: str, alias: str | None = None, digits: int = 6) -> str:
-    r = f"round(cast({expr} as double), {digits})"
-    out = f"(case when {r} = 0 then 0.0e0 else {r} end)"
+def rd(expr: str, alias: str | None = None, digits: int = 9) -> str:
+    """Round half up in binary arithmetic (identical in both engines)."""
+    k = f"1e{digits}"
+    out = f"(floor(cast({expr} as double) * {k} + 0.5e0) / {k})"
     return f"{out} as {alias}" if alias else out
 
 
@@ -214,7 +215,7 @@ def lag_sql(src: str, lags: list[int], shift: int, rolling: list[tuple[int, int,
     cols, joins = [], []
     for i, L in enumerate(lags):
         joins.append(f"left join {src} l{i} on l{i}.site_name = s.site_name "
-                     f"and epoch_us(l{i}.delivery_time) = {t} - {L * step_us}")
+                     f"and epoch_us(l{i}.delivery_time) = epoch_us(s.delivery_time) - {L * step_us}")
         cols.append(f"l{i}.{Y} as production_lag{L}{unit}")
     for w, minp, label in rolling:
         fr = (f"over (partition by site_name order by {t} range between {(shift + w - 1) * step_us} preceding "

@@ -3,7 +3,7 @@
 Each query takes ``(spark, sf_dir)``, reads the driver's tables (through a
 fixture derived from them) and returns a DataFrame; :data:`ORACLE` holds the
 matching DuckDB SQL for the SQL-expressible ones. Outputs pass through
-:func:`finish` (UTC times back to ``timestamp_ntz``, doubles rounded to 6
+:func:`finish` (UTC times back to ``timestamp_ntz``, doubles rounded to 9
 places, integers widened) so both engines produce comparable values.
 """
 
@@ -47,8 +47,9 @@ def finish(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            r = F.round(c.cast("double"), 6)
-            c = F.when(r == 0, F.lit(0.0)).otherwise(r)
+            # floor(x * 1e9 + 0.5) / 1e9: the same IEEE steps as the SQL side,
+            # so ties at the last digit round alike in both engines
+            c = F.floor(c.cast("double") * F.lit(1e9) + F.lit(0.5)).cast("double") / F.lit(1e9)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("long")
         cols.append(c.alias(f.name))

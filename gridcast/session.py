@@ -59,3 +59,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     use_utc(spark)
     checkpoint_dir(spark)
     return spark
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and continue from there.
+
+    Used where a sorted, positioned frame feeds several branches of a plan:
+    the branches then scan the written result instead of re-running the
+    sort, and the lineage is cut, so a lost executor re-reads files rather
+    than recomputing upstream stages. ``localCheckpoint`` is never used.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

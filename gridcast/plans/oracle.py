@@ -33,6 +33,14 @@ SHIP_DAY = """select l_returnflag as site_name, l_shipdate as delivery_time,
        sum(l_quantity) as production, 50.0e0*count(*) as installed_capacity
 from lineitem where l_linenumber<>3 group by l_returnflag, l_shipdate"""
 
+
+
+def ship_day_by(site_expr: str) -> str:
+    """``ship_day`` with another site column (e.g. one site per supplier)."""
+    return SHIP_DAY.replace("select l_returnflag as site_name", f"select {site_expr} as site_name").replace(
+        "group by l_returnflag, l_shipdate", f"group by {site_expr}, l_shipdate")
+
+
 Y = "production_normalized"
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US

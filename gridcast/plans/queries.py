@@ -248,8 +248,8 @@ def q_impute_target(spark, d):
         R.group, R.time, Y, "is_not_plateau")
 
 
-def _ship_ready_ctes():
-    return (O.base_ctes("ship_day") + [SN] + O.plateau_ctes("sn", "pf") + O.impute_ctes("pf", "im")
+def _ship_ready_ctes(base=None):
+    return ((base or O.base_ctes("ship_day")) + [SN] + O.plateau_ctes("sn", "pf") + O.impute_ctes("pf", "im")
             + [("rq", O.required_sql("im")),
                ("rc", f"select * replace (production / installed_capacity as {Y}) from rq")])
 
@@ -285,6 +285,22 @@ def q_rolling_features(spark, d):
     return _ship_lagged(spark, d).select(R.group, R.time, *_ROLL_COLS)
 
 
+_SUPP_COLS = [f"production_lag{L}d" for L in _SHIP_LAGS] + _ROLL_COLS
+
+
+@query("supplier_features", O.with_ctes(_ship_ready_ctes([("ship_day", O.ship_day_by("cast(l_suppkey as varchar)"))]) + [
+        ("lg", O.lag_sql("rc", _SHIP_LAGS, 360, _SHIP_ROLL, O.DAY_US, "d"))], f"""
+select site_name, delivery_time, {O.rd(Y, Y)}, {', '.join(O.rd(c, c) for c in _SUPP_COLS)} from lg"""))
+def q_supplier_features(spark, d):
+    """E1 daily stages with one site per supplier (many groups): plateau,
+    impute, lags and rolling statistics."""
+    c = SHIP_CFG
+    x = panel.normalize_target(fx.ship_day(spark, d, site_col="l_suppkey"))
+    x = impute.impute_target(quality.plateau_flags(x))
+    x = panel.recompute_target(panel.required_rows(x))
+    return lags.lag_features(x, step=c.step, unit=c.lag_unit).select(R.group, R.time, Y, *_SUPP_COLS)
+
+
 # ---------------------------------------------------------- full pipeline
 
 _MM_DROP = set(clean.DEFAULT_DROP_COLUMNS)
@@ -532,3 +548,134 @@ def q_minmax_scale(spark, d):
     """Min-max scaling to [0, 1] (zero range -> 1)."""
     w = fx.weather_hour(spark, d)
     return scale.fit_minmax(w, _SCALE).transform(w).select(R.group, R.time, *_SCALE)
+
+
+# ------------------------------------------------------------------ kNN
+
+@query("knn_regression", f"""
+with e as (select vec_id, cast(embedding as double[]) as v, cast(label as double) as y from embeddings),
+pr as (select a.vec_id as q, b.vec_id as r, b.y,
+         sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda x: (x[1] - x[2]) * (x[1] - x[2])))) as d
+       from e a join e b on a.vec_id <> b.vec_id),
+tk as (select * from (select *, row_number() over (partition by q order by d, r) as rn from pr) t
+       where rn <= {KNN_K})
+select q as vec_id, {O.rd('case when min(d) = 0 then avg(case when d = 0 then y end) '
+                          'else sum(y / d) / sum(1.0e0 / d) end', 'prediction')},
+       count(*) as n_neighbors
+from tk group by q""")
+def q_knn_regression(spark, d):
+    """Leave-one-out 5-NN regression of the label over the
+    embeddings (Euclidean, 1/d weights), exact via pivot cells."""
+    from gridcast.operators.knn import knn_regress
+
+    e = fx.table(spark, d, "embeddings")
+    return knn_regress(e, e, features="embedding", target="label", train_id="vec_id", query_id="vec_id",
+                       k=KNN_K, p=2, weights="distance", exclude_self=True)
+
+
+# -------------------------------------------------------- experiments
+
+SWEEP_MODELS = ("lstm", "transformer")
+SWEEP_LENGTHS = (6, 12, 24, 48)
+SWEEP_DROP = (False, True)
+
+
+@query("experiment_grid", O.with_ctes(O.base_ctes("power_hour") + [PN, ("s", """
+select site_name as site, row_number() over (order by site_name) - 1 as site_index
+from (select distinct site_name from pn where site_name is not null) x""")], """
+select cast(s.site_index as integer) as site_index, s.site, m.model, cast(l.seq_len as integer) as seq_len,
+  dp.drop_prod,
+  m.model || '_seq' || cast(l.seq_len as varchar) || '_' || case when dp.drop_prod then 'no_prod' else 'with_prod' end
+    as name
+from s, (values ('lstm'), ('transformer')) m(model), (values (6), (12), (24), (48)) l(seq_len),
+     (values (false), (true)) dp(drop_prod)"""))
+def q_experiment_grid(spark, d):
+    """Site x model x sequence length x drop option, with run names."""
+    from gridcast.plans.run import experiment_grid
+
+    return experiment_grid(_power(spark, d), SWEEP_MODELS, SWEEP_LENGTHS, SWEEP_DROP)
+
+
+# ------------------------------------------------- models (rows-only checks)
+
+SMALL_FOREST = {"n_estimators": 20, "max_depth": 8, "random_state": 42}
+SMALL_BOOST = {"n_estimators": 20, "learning_rate": 0.1, "max_depth": 4, "subsample": 0.8, "random_state": 42}
+
+
+def _model_split(spark, d):
+    from gridcast.plans.tuning import feature_columns
+
+    from gridcast.session import materialize
+
+    # one written copy of the feature frame feeds every fit and prediction
+    mf = materialize(model_frame(spark, d))
+    train, test = split.split_time(mf, SPLIT_FRACTION)
+    return train, test, feature_columns(mf)
+
+
+def _forecast(spark, d, model_type, params):
+    from gridcast.operators.models import fit_model, predict
+
+    train, test, feats = _model_split(spark, d)
+    m = fit_model(train, feats, Y, model_type, params)
+    return metrics.prediction_frame(predict(m, test), "prediction")
+
+
+@query("forest_forecast")
+def q_forest_forecast(spark, d):
+    """M1/M5: random-forest forecast of the test period (prediction frame)."""
+    return _forecast(spark, d, "random_forest", SMALL_FOREST)
+
+
+@query("boosted_forecast")
+def q_boosted_forecast(spark, d):
+    """M2/M5: gradient-boosted trees forecast of the test period."""
+    return _forecast(spark, d, "xgboost", SMALL_BOOST)
+
+
+@query("knn_forecast")
+def q_knn_forecast(spark, d):
+    """M3/M5: kNN forecast of the test period on the model features."""
+    return _forecast(spark, d, "knn", {"n_neighbors": 25, "weights": "distance"})
+
+
+@query("sequence_forecast")
+def q_sequence_forecast(spark, d):
+    """12-step sequence regression of the test period."""
+    from gridcast.plans.run import sequence_predictions
+
+    train, test, feats = _model_split(spark, d)
+    pred, _ = sequence_predictions(train, test, feats, 12, "lstm")
+    return pred
+
+
+@query("cv_mae")
+def q_cv_mae(spark, d):
+    """M7: fold MAEs of a small forest over five expanding time folds."""
+    from gridcast.plans.tuning import fold_maes
+
+    train, _, feats = _model_split(spark, d)
+    maes = fold_maes(train, "random_forest", SMALL_FOREST, N_FOLDS, features=feats)
+    return spark.createDataFrame([(i, m) for i, m in enumerate(maes)], "fold int, mae double")
+
+
+@query("param_search")
+def q_param_search(spark, d):
+    """M8/O2: three random forest trials (trees capped at 20), best first."""
+    from gridcast.plans.tuning import param_search
+
+    train, _, feats = _model_split(spark, d)
+    trials = param_search(train, "random_forest", 3, N_FOLDS, features=feats,
+                          overrides={"n_estimators": 20, "max_depth": 8})
+    return trials.orderBy("cv_mae", "trial")
+
+
+@query("experiment_results")
+def q_experiment_results(spark, d):
+    """Sequence sweep over two sites, two lengths and both drop
+    options; failed runs are rows with an error text."""
+    from gridcast.plans.run import SweepConfig, experiment_grid, run_sweep
+
+    frame = clean.clip_rules(process(_joined(spark, d), R, POWER_CFG))
+    grid = experiment_grid(frame, ("lstm",), (6, 12), (False, True), site_start=0, site_end=1)
+    return run_sweep(spark, frame, grid, SweepConfig(test_size=0.2))

@@ -81,7 +81,8 @@ def group_median(df: DataFrame, group: str, value: str, out: str = "median") ->
     are selected.
     """
     v = df.select(group, value).where(F.col(value).isNotNull() & F.col(group).isNotNull())
-    ranked = positions(v, group, [value], "_r")
+    # not checkpointed: both uses below sit in one plan and share its exchange
+    ranked = positions(v, group, [value], "_r", persist=False)
     counts = ranked.groupBy(group).agg(F.count(F.lit(1)).alias("_cnt"))
     mids = (ranked.join(counts, group)
             .where((F.col("_r") == F.floor((F.col("_cnt") - 1) / 2))

@@ -146,7 +146,12 @@ def fit_model(df: DataFrame, features: Sequence[str], target: str, model_type: s
         raise ValueError("No training features available")
     if model_type == "knn":
         return ForecastModel(model_type, feats, target, KNNModel(df.select(*feats, target), feats, target, params))
-    assembler = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep")
+    from pyspark.ml.linalg import VectorUDT
+
+    has_vec = any(isinstance(df.schema[c].dataType, VectorUDT) for c in feats)
+    # vector inputs carry no size metadata, so they cannot use "keep"
+    assembler = VectorAssembler(inputCols=feats, outputCol="features",
+                                handleInvalid="error" if has_vec else "keep")
     est = build_regressor(model_type, params, label="label")
     pipe = Pipeline(stages=[assembler, est])
     fitted = pipe.fit(df.withColumn("label", F.col(target).cast("double")))

@@ -10,9 +10,14 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """Pin the session time zone to UTC (all panel times are UTC)."""
+    """Pin the session time zone to UTC (all panel times are UTC) and turn
+    off constraint propagation: wide feature projections over a many-column
+    complete-case filter make the optimizer's constraint sets grow
+    combinatorially (planning, not execution, then dominates)."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if spark.conf.get("spark.sql.constraintPropagation.enabled", "true") != "false":
+        spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
     return spark
 
 
@@ -47,6 +52,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        "spark.sql.constraintPropagation.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     if shuffle_partitions:

@@ -84,3 +84,26 @@ def test_sequence_run_and_sweep_isolation(spark, frame):
     assert len(rows) == 4
     assert all(r["error"] == "" for r in rows if r["seq_len"] == 4)
     assert all(r["error"] and r["mae"] is None for r in rows if r["seq_len"] == 500)
+
+
+def test_run_tabular_modes(spark, frame, tmp_path):
+    cfg = tuning.TabularConfig(model="random_forest", mode="train", n_splits=3, output_dir=str(tmp_path),
+                               overrides={"n_estimators": 5, "max_depth": 3})
+    res = tuning.run_tabular(spark, frame, cfg)
+    assert set(res["random_forest"]) == {"cv_mae", "test_mae", "params"}
+    base = str(tmp_path / "tabular_optimization")
+    assert models.load_json(spark, f"{base}/random_forest_features.json") == ["x1", "x2"]
+    assert models.ForecastModel.exists(f"{base}/random_forest_model")
+    models.save_json(spark, {"n_estimators": 6, "max_depth": 2, "random_state": 7},
+                     f"{base}/random_forest_best_params.json")
+    res2 = tuning.run_tabular(spark, frame, cfg)
+    assert res2["random_forest"]["params"]["max_depth"] == 2  # saved best params are reused
+
+
+def test_run_pipeline_reuses_saved_model(spark, frame, tmp_path):
+    path = str(tmp_path / "rf")
+    a = run.run_pipeline(frame, model_type="random_forest", params={"n_estimators": 5, "max_depth": 3},
+                         savepath=path)
+    b = run.run_pipeline(frame, model_type="random_forest", params={"n_estimators": 50, "max_depth": 9},
+                         savepath=path)
+    assert a["eval_mae"] == b["eval_mae"]  # second run loaded the first model

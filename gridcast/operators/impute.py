@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from gridcast.operators.chunks import CHUNK_COL, POS_COL, group_median, positions
 from gridcast.operators.quality import FLAG
 from gridcast.roles import DEFAULT_ROLES, Roles
+from gridcast.session import materialize
 
 CHUNK_ROWS = 4096
 
@@ -89,7 +90,8 @@ def impute_target(df: DataFrame, roles: Roles = DEFAULT_ROLES, *, max_fill_rows:
     p = _with_positions(df, roles)
     if FLAG in p.columns:
         p = p.withColumn(y, F.when(F.col(FLAG) == F.lit(False), F.lit(None)).otherwise(F.col(y)))
-    z = interpolate_gaps(p, roles, value=y, max_fill_rows=max_fill_rows)
+    # z feeds the hour profile, the median and the fill: write it once
+    z = materialize(interpolate_gaps(p, roles, value=y, max_fill_rows=max_fill_rows))
     prof = hourly_profile(z, roles, y).withColumnRenamed("hour", "_hour")
     med = group_median(z, G, y, "_median")
     out = (z.withColumn("_hour", F.hour(roles.time))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gridcast.operators.chunks import (CHUNK_COL, OWN_COL, POS_COL, chunk_size,
                                        group_median, halo_explode, positions)
 from gridcast.roles import DEFAULT_ROLES, Roles
+from gridcast.session import materialize
 
 FLAG = "is_not_plateau"
 DEFAULT_INTERVAL_S = 3600.0  # fall back to one hour
@@ -76,6 +77,9 @@ def plateau_flags(df: DataFrame, roles: Roles = DEFAULT_ROLES, *, N: int = 5,
                  .withColumn("_nf", F.pow(F.lit(2), F.ceil(F.log2(F.col("_n")))).cast("long"))
                  .join(p.groupBy(G).agg(F.max(y).alias("_pmax")), G)
                  .drop("interval_s"))
+    # one row per group; written once so the width lookup below and the
+    # main plan do not both recompute the interval medians
+    per_group = materialize(per_group)
     joined = p.join(per_group, G)
     widths = sorted(r[0] for r in per_group.select("_nf").distinct().collect())
     branches = []

@@ -24,8 +24,9 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The folder comes from ``spark.checkpoint.dir``. Only when the session
-    does not name one (local tests) a fresh scratch folder is created.
+    The folder comes from ``spark.checkpoint.dir``. Only a local-mode
+    session without one (tests) gets a fresh scratch folder; on a cluster a
+    missing setting is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -33,7 +34,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="gridcast-ckpt-")
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) on a cluster")
+        configured = tempfile.mkdtemp(prefix="gridcast-ckpt-")  # local runs and tests only
         spark.conf.set(_CHECKPOINT_KEY, configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -583,7 +583,7 @@ SWEEP_DROP = (False, True)
 @query("experiment_grid", O.with_ctes(O.base_ctes("power_hour") + [PN, ("s", """
 select site_name as site, row_number() over (order by site_name) - 1 as site_index
 from (select distinct site_name from pn where site_name is not null) x""")], """
-select cast(s.site_index as integer) as site_index, s.site, m.model, cast(l.seq_len as integer) as seq_len,
+select cast(s.site_index as bigint) as site_index, s.site, m.model, cast(l.seq_len as bigint) as seq_len,
   dp.drop_prod,
   m.model || '_seq' || cast(l.seq_len as varchar) || '_' || case when dp.drop_prod then 'no_prod' else 'with_prod' end
     as name

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridcast.operators.chunks import (CHUNK_COL, OWN_COL, POS_COL, chunk_size,
-                                       group_median, halo_explode, positions)
+                                       group_median_weighted, halo_explode, positions)
 from gridcast.roles import DEFAULT_ROLES, Roles
 from gridcast.session import materialize
 
@@ -43,7 +43,8 @@ def sampling_interval(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     diffs = (h.withColumn("_dt", (t - F.lag(t).over(w)) / F.lit(1e6))
              .where(F.col(OWN_COL) & F.col("_dt").isNotNull())
              .select(roles.group, "_dt"))
-    med = group_median(diffs, roles.group, "_dt", "_med")
+    # time steps repeat: rank the distinct steps with their counts
+    med = group_median_weighted(diffs, roles.group, "_dt", "_med")
     groups = p.select(roles.group).distinct()
     return (groups.join(med, roles.group, "left")
             .select(roles.group, F.when(F.col("_med") > 0, F.col("_med"))

@@ -159,3 +159,15 @@ def test_repartitioned_input_gives_same_flags(spark):
     a = _sorted(quality.plateau_flags(to_spark(spark, pdf)).toPandas())
     b = _sorted(quality.plateau_flags(to_spark(spark, pdf.sample(frac=1, random_state=1)).repartition(7)).toPandas())
     assert (a["is_not_plateau"].to_numpy() == b["is_not_plateau"].to_numpy()).all()
+
+
+def test_weighted_median_matches_numpy(spark):
+    rng = np.random.default_rng(3)
+    rows = [(g, float(v)) for g in ("a", "b", "c") for v in rng.integers(0, 7, size=int(rng.integers(1, 60)))]
+    rows.append(("d", 2.5))
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = chunks.group_median_weighted(df, "g", "v", chunk_rows=2).toPandas().set_index("g")["median"]
+    exp = pd.DataFrame(rows, columns=["g", "v"]).groupby("g")["v"].median()
+    assert close(got.loc[exp.index], exp, 0)
+    plain = chunks.group_median(df, "g", "v").toPandas().set_index("g")["median"]
+    assert close(plain.loc[exp.index], exp, 0)

@@ -21,6 +21,7 @@ from gridcast.operators.lags import DEFAULT_ROLLING, lag_features
 from gridcast.operators.panel import normalize_target, recompute_target, required_rows
 from gridcast.operators.quality import plateau_flags
 from gridcast.roles import DEFAULT_ROLES, Roles
+from gridcast.session import materialize
 
 
 @dataclass(frozen=True)
@@ -95,10 +96,10 @@ def process(df: DataFrame, roles: Roles = DEFAULT_ROLES, cfg: FeatureConfig = DE
     out = preprocess(df, roles, cfg)
     if cfg.imputation:
         out = impute_target(out, roles, max_fill_rows=cfg.max_fill_rows, keep_positions=True)
-    # the lineage is already cut inside the per-group stages (positioned
-    # panel, per-group table, interpolated panel are checkpointed), so the
-    # feature stage plans on a short tree and a lost executor re-reads files
-    return engineer_features(out, roles, cfg)
+    # end of the per-group stages: cut the lineage here (shared checkpoint
+    # folder), so the feature stage plans on a short tree and later actions
+    # (fits, folds, sweeps) do not re-plan or replay the per-group stages
+    return engineer_features(materialize(out), roles, cfg)
 
 
 def features_for_model(df: DataFrame, roles: Roles = DEFAULT_ROLES, cfg: FeatureConfig = DEFAULT_FEATURES,

@@ -25,6 +25,15 @@ OWN_COL = "_own"
 POS_COL = "_pos"
 
 
+def spread(df: DataFrame, group: str) -> DataFrame:
+    """Hash-partition on ``(group, chunk)`` before a chunked window.
+
+    Without it Spark accepts any upstream ``hash(group)`` partitioning (for
+    example from a join on the group key) as satisfying the window's
+    ``(group, chunk)`` clustering, and a large group stays in one task."""
+    return df.repartition(group, CHUNK_COL)
+
+
 def halo_explode(df: DataFrame, value: Column, size: int, before: int, after: int) -> DataFrame:
     """Copy each row into every chunk (of ``size`` units of ``value``) whose
     rows can reach it with a frame ``[-before, +after]``.

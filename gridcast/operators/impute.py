@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcast.operators.chunks import CHUNK_COL, POS_COL, group_median, positions
+from gridcast.operators.chunks import CHUNK_COL, POS_COL, group_median, positions, spread
 from gridcast.operators.quality import FLAG
 from gridcast.roles import DEFAULT_ROLES, Roles
 from gridcast.session import materialize
@@ -44,8 +44,8 @@ def interpolate_gaps(df: DataFrame, roles: Roles = DEFAULT_ROLES, *, value: str
     t_us = F.unix_micros(F.col(roles.time))
     rec = F.when(F.col(v).isNotNull(),
                  F.struct(F.col(POS_COL).alias("p"), t_us.alias("t"), F.col(v).alias("v")))
-    c = (p.withColumn(CHUNK_COL, F.floor(F.col(POS_COL) / F.lit(CHUNK_ROWS)))
-         .withColumn("_rec", rec))
+    c = spread(p.withColumn(CHUNK_COL, F.floor(F.col(POS_COL) / F.lit(CHUNK_ROWS)))
+               .withColumn("_rec", rec), G)
     w = Window.partitionBy(G, CHUNK_COL).orderBy(POS_COL)
     c = (c.withColumn("_prev", F.last("_rec", ignorenulls=True).over(
             w.rowsBetween(Window.unboundedPreceding, -1)))

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcast.operators.chunks import CHUNK_COL, OWN_COL, chunk_size, halo_explode
+from gridcast.operators.chunks import CHUNK_COL, OWN_COL, chunk_size, halo_explode, spread
 from gridcast.operators.quality import FLAG, _parse_seconds
 from gridcast.roles import DEFAULT_ROLES, Roles
 
@@ -124,7 +124,7 @@ def lag_features(df: DataFrame, roles: Roles = DEFAULT_ROLES, *, lags: Sequence[
     depth = max([*lags, *[roll_shift + w - 1 for w, _, _ in rolling], 1]) * s
     size = chunk_size(depth, 0, GRID_CHUNK_STEPS * s)
     t_us = F.unix_micros(F.col(T))
-    h = halo_explode(base.withColumn("_t", t_us), F.col("_t"), size, before=depth, after=0)
+    h = spread(halo_explode(base.withColumn("_t", t_us), F.col("_t"), size, before=depth, after=0), G)
     w = Window.partitionBy(G, CHUNK_COL).orderBy("_t")
     cols = []
     for L, name in zip(lags, lag_names(lags, prefix, unit)):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridcast.operators.chunks import (CHUNK_COL, OWN_COL, POS_COL, chunk_size,
-                                       group_median_weighted, halo_explode, positions)
+                                       group_median_weighted, halo_explode, positions, spread)
 from gridcast.roles import DEFAULT_ROLES, Roles
 from gridcast.session import materialize
 
@@ -37,7 +37,7 @@ def sampling_interval(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     NULL or non-positive becomes one hour. Returns ``(group, interval_s)``."""
     p = _with_positions(df.select(roles.group, roles.time, *([POS_COL] if POS_COL in df.columns else [])), roles)
     size = chunk_size(1, 0, 4096)
-    h = halo_explode(p, F.col(POS_COL), size, before=1, after=0)
+    h = spread(halo_explode(p, F.col(POS_COL), size, before=1, after=0), roles.group)
     w = Window.partitionBy(roles.group, CHUNK_COL).orderBy(POS_COL)
     t = F.unix_micros(F.col(roles.time))
     diffs = (h.withColumn("_dt", (t - F.lag(t).over(w)) / F.lit(1e6))
@@ -87,7 +87,7 @@ def plateau_flags(df: DataFrame, roles: Roles = DEFAULT_ROLES, *, N: int = 5,
     for nf in widths:
         part = joined.where(F.col("_nf") == nf)
         size = chunk_size(nf, nf, 4096)
-        h = halo_explode(part, F.col(POS_COL), size, before=nf, after=nf)
+        h = spread(halo_explode(part, F.col(POS_COL), size, before=nf, after=nf), G)
         w = Window.partitionBy(G, CHUNK_COL).orderBy(POS_COL).rowsBetween(-nf, nf)
         near = F.collect_list(F.struct(F.col(POS_COL).alias("p"), F.col(y).alias("v"))).over(w)
         count = F.size(F.filter(near, lambda e: (F.abs(e["p"] - F.col(POS_COL)) <= F.col("_n"))

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcast.operators.chunks import CHUNK_COL, OWN_COL, POS_COL, chunk_size, halo_explode, positions
+from gridcast.operators.chunks import CHUNK_COL, OWN_COL, POS_COL, chunk_size, halo_explode, positions, spread
 from gridcast.roles import DEFAULT_ROLES, Roles
 
 
@@ -30,7 +30,7 @@ def sequence_windows(df: DataFrame, features: Sequence[str], seq_len: int,
     L = int(seq_len)
     base = df.select(G, T, y, *features).dropna()
     p = positions(base, G, [T])
-    h = halo_explode(p, F.col(POS_COL), chunk_size(L, 0, 4096), before=L, after=0)
+    h = spread(halo_explode(p, F.col(POS_COL), chunk_size(L, 0, 4096), before=L, after=0), G)
     w = Window.partitionBy(G, CHUNK_COL).orderBy(POS_COL).rowsBetween(-L, -1)
     vec = F.array(*[F.col(c).cast("double") for c in features])
     return (h.withColumn(out, F.collect_list(vec).over(w))

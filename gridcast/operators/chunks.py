@@ -56,29 +56,29 @@ def chunk_size(before: int, after: int, minimum: int) -> int:
     return max(int(minimum), 4 * (int(before) + int(after)), 1)
 
 
-def positions(df: DataFrame, group: str, order: Sequence[str], pos_col: str = POS_COL,
-              persist: bool = True) -> DataFrame:
+def positions(df: DataFrame, group: str, order: Sequence[str], pos_col: str = POS_COL) -> DataFrame:
     """Add the 0-based row position within ``group`` ordered by ``order``.
 
     The frame is range-partitioned on ``(group, *order)`` (Spark samples the
     keys, so one large group is split over many partitions) and sorted per
-    partition; a small ``(group, partition)`` summary gives each partition's
-    offset. No task ever holds a whole group.
+    partition. The sorted frame is written once *with* its row and partition
+    ids: the offsets of the ``(group, partition)`` runs and the rows they are
+    joined to then come from the same files, whatever bounds a second range
+    exchange would sample. No task ever holds a whole group.
     """
     keys = [group, *order]
-    s = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-         .withColumn("_rid", F.monotonically_increasing_id())
-         .withColumn("_pid", F.spark_partition_id()))
+    s = materialize(df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+                    .withColumn("_rid", F.monotonically_increasing_id())
+                    .withColumn("_pid", F.spark_partition_id()))
     stats = (s.groupBy(group, "_pid")
              .agg(F.min("_rid").alias("_rid0"), F.count(F.lit(1)).alias("_n"))
              .withColumn("_off", F.coalesce(F.sum("_n").over(
                  Window.partitionBy(group).orderBy("_pid")
                  .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
              .drop("_n"))
-    out = (s.join(stats, [group, "_pid"])
-           .withColumn(pos_col, F.col("_off") + F.col("_rid") - F.col("_rid0"))
-           .drop("_rid", "_pid", "_rid0", "_off"))
-    return materialize(out) if persist else out
+    return (s.join(stats, [group, "_pid"])
+            .withColumn(pos_col, F.col("_off") + F.col("_rid") - F.col("_rid0"))
+            .drop("_rid", "_pid", "_rid0", "_off"))
 
 
 def group_median(df: DataFrame, group: str, value: str, out: str = "median") -> DataFrame:
@@ -90,8 +90,7 @@ def group_median(df: DataFrame, group: str, value: str, out: str = "median") ->
     are selected.
     """
     v = df.select(group, value).where(F.col(value).isNotNull() & F.col(group).isNotNull())
-    # not checkpointed: both uses below sit in one plan and share its exchange
-    ranked = positions(v, group, [value], "_r", persist=False)
+    ranked = positions(v, group, [value], "_r")
     counts = ranked.groupBy(group).agg(F.count(F.lit(1)).alias("_cnt"))
     mids = (ranked.join(counts, group)
             .where((F.col("_r") == F.floor((F.col("_cnt") - 1) / 2))
@@ -110,8 +109,6 @@ def group_median_weighted(df: DataFrame, group: str, value: str, out: str = "med
     plus a carry over the per-chunk totals. Same result as
     :func:`group_median`; much less to sort when values repeat (time steps).
     """
-    from pyspark.sql import Window
-
     w = (df.where(F.col(value).isNotNull() & F.col(group).isNotNull())
          .groupBy(group, value).agg(F.count(F.lit(1)).alias("_w")))
     r = positions(w, group, [value], "_r").withColumn("_c", F.floor(F.col("_r") / F.lit(chunk_rows)))

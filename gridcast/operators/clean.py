@@ -4,6 +4,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -56,37 +58,53 @@ def clamp(c: Column, lower: float | None, upper: float | None) -> Column:
     return out
 
 
-def clip_rules(df: DataFrame, rules: Sequence[dict[str, Any]] | None = None) -> DataFrame:
-    """Apply clip rules in order, in one projection.
+@dataclass(frozen=True)
+class ClipRule:
+    """One rule, resolved against a schema: its columns and its repair steps."""
+
+    columns: tuple[str, ...]
+    for_inf: float | None = None
+    for_null: float | None = None
+    lower: float | None = None
+    upper: float | None = None
+
+    @classmethod
+    def resolve(cls, spec: dict[str, Any], available: Sequence[str]) -> ClipRule:
+        """Explicit names win over name fragments; unknown names drop out."""
+        named = spec.get("columns") or columns_matching(available, spec.get("contains_any") or ())
+        number = lambda key: None if spec.get(key) is None else float(spec[key])
+        known = set(available)
+        return cls(tuple(c for c in named if c in known), number("replace_inf_with"), number("fillna"),
+                   number("lower"), number("upper"))
+
+    def repair(self, value: Column) -> Column:
+        steps = [
+            (self.for_inf, lambda v: F.when(F.abs(v) == F.lit(float("inf")), F.lit(self.for_inf)).otherwise(v)),
+            (self.for_null, lambda v: F.coalesce(v, F.lit(self.for_null))),
+            (self.lower, lambda v: clamp(v, self.lower, None)),
+            (self.upper, lambda v: clamp(v, None, self.upper)),
+        ]
+        return reduce(lambda v, step: v if step[0] is None else step[1](v), steps, value)
 
-    A rule names ``columns`` or, failing that, matches names containing any
-    of ``contains_any``; then it replaces ±inf, fills NULL and clamps.
-    """
-    active = DEFAULT_CLIP_RULES if rules is None else rules
-    exprs: dict[str, Column] = {}
+
+def clip_rules(df: DataFrame, rules: Sequence[dict[str, Any]] | None = None) -> DataFrame:
+    """Apply clip rules in one projection: each column passes through the rules
+    that name it, in the order of the rules. Entries that are no mappings are
+    skipped."""
+    specs = [r for r in (DEFAULT_CLIP_RULES if rules is None else rules) if isinstance(r, dict)]
+    resolved = [ClipRule.resolve(r, df.columns) for r in specs]
     floating = set(_floating(df))
-    for rule in active:
-        if not isinstance(rule, dict):
-            continue
-        cols = list(rule.get("columns", []))
-        if not cols and rule.get("contains_any"):
-            cols = columns_matching(df.columns, rule["contains_any"])
-        for c in [c for c in cols if c in df.columns]:
-            e = exprs.get(c, F.col(c))
-            if c in floating and c not in exprs:
-                e = F.nanvl(e, F.lit(None).cast("double"))
-            if rule.get("replace_inf_with") is not None:
-                r = float(rule["replace_inf_with"])
-                e = F.when(F.abs(e) == F.lit(float("inf")), F.lit(r)).otherwise(e)
-            if rule.get("fillna") is not None:
-                e = F.coalesce(e, F.lit(float(rule["fillna"])))
-            if rule.get("lower") is not None or rule.get("upper") is not None:
-                e = clamp(e, rule.get("lower"), rule.get("upper"))
-            exprs[c] = e
-    if not exprs:
-        return df
-    return df.select(*[exprs[c].cast(df.schema[c].dataType).alias(c) if c in exprs else F.col(c)
-                       for c in df.columns])
+
+    def output(name: str) -> Column:
+        mine = [r for r in resolved if name in r.columns]
+        if not mine:
+            return F.col(name)
+        value = F.nanvl(F.col(name), F.lit(None).cast("double")) if name in floating else F.col(name)
+        for rule in mine:
+            value = rule.repair(value)
+        return value.cast(df.schema[name].dataType).alias(name)
+
+    return df.select(*[output(c) for c in df.columns])
 
 
 def drop_columns(drop_prod: bool = False, delay_days: int = 15,

@@ -126,9 +126,9 @@ def knn_regress(train: DataFrame, query: DataFrame, *, features: str | Sequence[
 
 def _block_topk(k: int, p: int, exclude_self: bool, batch: int = 16):
     """Per (cell, sub-block): exact distances of the visiting queries to the
-    block's training rows with NumPy, keeping each query's ``k`` nearest
-    plus any rows tied with the k-th distance (the final ``(distance, id)``
-    order is decided in Spark)."""
+    block's training rows with NumPy, keeping each query's first ``k`` rows
+    in ``(distance, id)`` order, the order of the final ranking in Spark; a
+    block returns at most ``k`` rows per query however many are tied."""
     import numpy as np
     import pandas as pd
 
@@ -137,6 +137,7 @@ def _block_topk(k: int, p: int, exclude_self: bool, batch: int = 16):
                               "_d": pd.Series([], dtype="float64"), "_y": pd.Series([], dtype="float64")})
         if qp.empty or tp.empty:
             return empty
+        tp = tp.sort_values("_tid")
         T = np.stack(tp["_v"].to_numpy()).astype(np.float64)
         tid = tp["_tid"].to_numpy(np.int64)
         ty = tp["_y"].to_numpy(np.float64)
@@ -151,7 +152,10 @@ def _block_topk(k: int, p: int, exclude_self: bool, batch: int = 16):
             if exclude_self:
                 D[qid[s:s + batch, None] == tid[None, :]] = np.inf
             kth = np.partition(D, kk - 1, axis=1)[:, kk - 1:kk]
-            mask = (D <= kth) & (D <= bound[s:s + batch, None]) & np.isfinite(D)
+            nearer, tied = D < kth, D == kth
+            room = kk - nearer.sum(axis=1, keepdims=True)  # ties go to the least ids
+            first = nearer | (tied & (np.cumsum(tied, axis=1) <= room))
+            mask = first & (D <= bound[s:s + batch, None]) & np.isfinite(D)
             qi, ti = np.nonzero(mask)
             out.append(pd.DataFrame({"_qid": qid[s:s + batch][qi], "_tid": tid[ti], "_d": D[qi, ti],
                                      "_y": ty[ti]}))

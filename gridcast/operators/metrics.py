@@ -75,7 +75,7 @@ def evaluate(pred: DataFrame) -> dict:
     prediction frame is empty. Two small actions."""
     g = global_metrics(pred).first()
     if g is None or not g["n_rows"]:
-        raise ValueError("No predictions were generated for evaluation")
+        raise ValueError("the prediction frame has no rows to evaluate")
     out = {k: g[k] for k in ("eval_mae", "eval_rmse", "eval_nrmse")}
     p = portfolio_metrics(pred).first().asDict()
     out.update(p)

@@ -3,15 +3,15 @@
 The reference's tree libraries map to ``spark.ml`` regressors:
 random forest -> ``RandomForestRegressor``; both boosted-tree libraries ->
 ``GBTRegressor``; sequence networks are re-aimed as a regressor on flattened
-windows (``LinearRegression`` or trees). Trees train distributed; Spark
-limits ``maxDepth`` to 30, and an unlimited depth maps to
-``UNLIMITED_DEPTH``.
+windows (``LinearRegression`` or trees). Trees train distributed. Spark grows
+trees to at most ``MAX_DEPTH`` levels: an unlimited depth means that many, and
+a larger number is an error. :func:`effective_params` gives the parameters a fit
+really uses, and an unsupported parameter is an error, never ignored.
 """
 
 from __future__ import annotations
 
 import json
-import os
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -23,10 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.operators.knn import knn_regress
+from gridcast.session import materialize
 
 TABULAR_MODELS = ("random_forest", "xgboost", "lightgbm", "knn")
 SEQUENCE_MODELS = ("lstm", "transformer")
-UNLIMITED_DEPTH = 12
+TRAIN_ID = "_tid"
 MAX_DEPTH = 30
 
 # Fixed values that must equal the reference's: default parameters.
@@ -40,10 +41,45 @@ DEFAULT_PARAMS: dict[str, dict[str, Any]] = {
 }
 
 
+SUPPORTED_PARAMS: dict[str, frozenset[str]] = {
+    "random_forest": frozenset({"n_estimators", "max_depth", "min_samples_leaf", "max_features", "bootstrap",
+                                "random_state", "seed"}),
+    "xgboost": frozenset({"n_estimators", "learning_rate", "max_depth", "subsample", "colsample_bytree",
+                          "min_child_samples", "random_state", "seed"}),
+    "knn": frozenset({"n_neighbors", "weights", "p"}),
+    "linear": frozenset({"weight_decay", "seq_len", "random_state", "seed"}),
+}
+SUPPORTED_PARAMS["boosted"] = SUPPORTED_PARAMS["xgboost"]
+SUPPORTED_PARAMS["lightgbm"] = SUPPORTED_PARAMS["xgboost"] | {"num_leaves"}
+for _name in SEQUENCE_MODELS:
+    SUPPORTED_PARAMS[_name] = SUPPORTED_PARAMS["linear"]
+
+
 def _depth(v) -> int:
     if v is None or (isinstance(v, (int, float)) and v < 0):
-        return UNLIMITED_DEPTH
-    return max(1, min(int(v), MAX_DEPTH))
+        return MAX_DEPTH
+    if int(v) > MAX_DEPTH:
+        raise ValueError(f"max_depth {v} exceeds the {MAX_DEPTH} levels that Spark trees can have")
+    return max(1, int(v))
+
+
+def effective_params(model_type: str, params: dict[str, Any]) -> dict[str, Any]:
+    """The parameters as a fit uses them: unlimited depths as numbers. Raises
+    on names that the model does not support."""
+    if model_type not in SUPPORTED_PARAMS:
+        raise ValueError(f"unknown model {model_type!r}")
+    unknown = sorted(set(params) - SUPPORTED_PARAMS[model_type])
+    if unknown:
+        raise ValueError(f"{model_type} has no parameters {unknown}; supported: {sorted(SUPPORTED_PARAMS[model_type])}")
+    out = dict(params)
+    if model_type in ("random_forest", "xgboost", "boosted"):
+        out["max_depth"] = _depth(params.get("max_depth", 6 if model_type != "random_forest" else None))
+    elif model_type == "lightgbm":
+        depth = params.get("max_depth")
+        if params.get("num_leaves") and (depth is None or depth < 0):
+            depth = max(1, int(params["num_leaves"]).bit_length() - 1)
+        out["max_depth"] = _depth(depth)
+    return out
 
 
 def _subset(frac) -> str:
@@ -55,31 +91,30 @@ def _subset(frac) -> str:
 def build_regressor(model_type: str, params: dict[str, Any], label: str = "label",
                     features: str = "features"):
     """A ``spark.ml`` estimator for a reference model name and parameters."""
+    params = effective_params(model_type, params)
     seed = int(params.get("random_state", params.get("seed", 42)))
     common = dict(featuresCol=features, labelCol=label, predictionCol="prediction")
     if model_type == "random_forest":
         return RandomForestRegressor(
-            numTrees=int(params.get("n_estimators", 100)), maxDepth=_depth(params.get("max_depth")),
+            numTrees=int(params.get("n_estimators", 100)), maxDepth=params["max_depth"],
             minInstancesPerNode=int(params.get("min_samples_leaf", 1)),
             featureSubsetStrategy=_subset(params.get("max_features", 1.0)),
             bootstrap=bool(params.get("bootstrap", True)), seed=seed, **common)
     if model_type in ("xgboost", "lightgbm", "boosted"):
-        depth = params.get("max_depth", 6 if model_type == "xgboost" else None)
-        if model_type == "lightgbm" and params.get("num_leaves") and (depth is None or depth < 0):
-            depth = max(1, int(params["num_leaves"]).bit_length() - 1)
         return GBTRegressor(
             maxIter=int(params.get("n_estimators", 100)), stepSize=float(params.get("learning_rate", 0.1)),
-            maxDepth=_depth(depth), subsamplingRate=float(params.get("subsample", 1.0)),
+            maxDepth=params["max_depth"], subsamplingRate=float(params.get("subsample", 1.0)),
             featureSubsetStrategy=_subset(params.get("colsample_bytree", 1.0)),
             minInstancesPerNode=int(params.get("min_child_samples", 1)), seed=seed, **common)
     if model_type in ("linear",) + SEQUENCE_MODELS:
         return LinearRegression(regParam=float(params.get("weight_decay", 0.0)), **common)
-    raise ValueError(f"Unsupported model type: {model_type}")
+    raise ValueError(f"unknown model {model_type!r}")
 
 
 @dataclass
 class KNNModel:
-    """Fitted kNN regressor: the training rows are the model."""
+    """Fitted kNN regressor: the training rows, written once with their ids,
+    are the model."""
 
     train: DataFrame
     features: list[str]
@@ -87,9 +122,10 @@ class KNNModel:
     params: dict[str, Any] = field(default_factory=dict)
 
     def transform(self, df: DataFrame, id_col: str = "_row") -> DataFrame:
-        q = df.withColumn(id_col, F.monotonically_increasing_id()) if id_col not in df.columns else df
-        tr = self.train.withColumn("_tid", F.monotonically_increasing_id())
-        pred = knn_regress(tr, q, features=self.features, target=self.target, train_id="_tid",
+        # the ids are written before their two uses: an id that is evaluated twice
+        # on an unwritten frame need not be the same both times
+        q = materialize(df.withColumn(id_col, F.monotonically_increasing_id())) if id_col not in df.columns else df
+        pred = knn_regress(self.train, q, features=self.features, target=self.target, train_id=TRAIN_ID,
                            query_id=id_col, k=int(self.params.get("n_neighbors", 25)),
                            p=int(self.params.get("p", 2)), weights=self.params.get("weights", "uniform"))
         return q.join(pred.select(id_col, "prediction"), id_col, "left").drop(id_col)
@@ -108,12 +144,15 @@ class ForecastModel:
         return self.model.transform(df)
 
     def save(self, path: str) -> None:
-        if isinstance(self.model, KNNModel):
-            raise ValueError("a kNN model is its training table; persist that table instead")
-        self.model.write().overwrite().save(path.rstrip("/") + "/model")
-        meta = {"model_type": self.model_type, "features": self.features, "target": self.target}
         from pyspark.sql import SparkSession
 
+        meta = {"model_type": self.model_type, "features": self.features, "target": self.target}
+        if isinstance(self.model, KNNModel):  # the training table
+            self.model.train.write.mode("overwrite").parquet(path.rstrip("/") + "/model")
+            meta["params"] = self.model.params
+        else:
+            self.model.write().overwrite().save(path.rstrip("/") + "/model")
+
         s = SparkSession.getActiveSession()
         s.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(
             path.rstrip("/") + "/meta")
@@ -133,8 +172,12 @@ class ForecastModel:
 
         s = SparkSession.getActiveSession()
         meta = json.loads(s.read.text(path.rstrip("/") + "/meta").first()[0])
-        return ForecastModel(meta["model_type"], meta["features"], meta["target"],
-                             PipelineModel.load(path.rstrip("/") + "/model"))
+        at = path.rstrip("/") + "/model"
+        if meta["model_type"] == "knn":
+            model: Any = KNNModel(s.read.parquet(at), meta["features"], meta["target"], meta["params"])
+        else:
+            model = PipelineModel.load(at)
+        return ForecastModel(meta["model_type"], meta["features"], meta["target"], model)
 
 
 def fit_model(df: DataFrame, features: Sequence[str], target: str, model_type: str,
@@ -143,9 +186,11 @@ def fit_model(df: DataFrame, features: Sequence[str], target: str, model_type: s
     params = dict(DEFAULT_PARAMS.get(model_type, {}) if params is None else params)
     feats = list(features)
     if not feats:
-        raise ValueError("No training features available")
+        raise ValueError("there is no feature column to train on")
     if model_type == "knn":
-        return ForecastModel(model_type, feats, target, KNNModel(df.select(*feats, target), feats, target, params))
+        params = effective_params(model_type, params)
+        rows = materialize(df.select(*feats, target).withColumn(TRAIN_ID, F.monotonically_increasing_id()))
+        return ForecastModel(model_type, feats, target, KNNModel(rows, feats, target, params))
     from pyspark.ml.linalg import VectorUDT
 
     has_vec = any(isinstance(df.schema[c].dataType, VectorUDT) for c in feats)
@@ -180,8 +225,3 @@ def path_exists(spark, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def local_dir(path: str) -> str:
-    os.makedirs(path, exist_ok=True)
-    return path

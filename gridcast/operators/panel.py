@@ -44,7 +44,7 @@ def validate_required(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
         required += [roles.raw, roles.capacity]
     missing = [c for c in required if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(f"the panel lacks the columns {missing}")
     return df
 
 

@@ -74,7 +74,7 @@ def fold_bounds(df: DataFrame, n_splits: int, time: str) -> list[tuple[int, int,
     n = t.count()
     k = int(n_splits)
     if n < k + 1:
-        raise ValueError(f"Cannot have number of folds={k + 1} greater than the number of samples={n}")
+        raise ValueError(f"{k} expanding folds need at least {k + 1} distinct times, found {n}")
     s = n // (k + 1)
     starts = [n - (k - i) * s for i in range(k)]
     ranked = positions(t.withColumn("_all", F.lit(0)), "_all", ["_t"], "_r")

@@ -25,7 +25,7 @@ from gridcast.roles import DEFAULT_ROLES, Roles
 
 def _require_rows(*frames: DataFrame) -> None:
     if any(f.isEmpty() for f in frames):
-        raise ValueError("Train or test set is empty after preprocessing and split.")
+        raise ValueError("the split leaves one side without rows")
 
 
 def sequence_predictions(train: DataFrame, test: DataFrame, features: Sequence[str], seq_len: int,
@@ -45,7 +45,7 @@ def sequence_predictions(train: DataFrame, test: DataFrame, features: Sequence[s
     tr = sequence_windows(prep(train), feats, seq_len, roles).withColumn("seq_flat", F.flatten("seq"))
     te = sequence_windows(prep(test), feats, seq_len, roles).withColumn("seq_flat", F.flatten("seq"))
     if tr.isEmpty():
-        raise ValueError("Not enough rows to create deep-learning sequences")
+        raise ValueError("no group has more rows than the sequence length")
     expand = lambda df: df.withColumn("seq_vec", array_to_vector("seq_flat"))
     tr = sequence_holdout(expand(tr), roles, val_fraction=val_fraction, no_cv=no_cv)
     cols = ["seq_vec"]
@@ -104,7 +104,7 @@ def experiment_grid(frame: DataFrame, models: Sequence[str], seq_lengths: Sequen
     parameter lists are expanded with ``explode`` of literal arrays, so no
     join is needed."""
     if site_end is not None and site_start > site_end:
-        raise ValueError("sequence_site_start must be <= sequence_site_end")
+        raise ValueError("the first site of the sweep lies behind the last")
     groups = positions(frame.select(roles.group).where(F.col(roles.group).isNotNull()).distinct()
                        .withColumn("_all", F.lit(0)), "_all", [roles.group], "site_index")
     sites = groups.where(F.col("site_index") >= site_start)
@@ -149,7 +149,7 @@ def run_experiment(frame: DataFrame, exp: dict[str, Any], cfg: SweepConfig,
                        m["portfolio_mae_total"], m["portfolio_rmse_total"], m["portfolio_nrmse_total"],
                        m["portfolio_mae_per_site"], m["portfolio_rmse_per_site"], "")
     except Exception as exc:  # noqa: BLE001 - a failed run is a result row
-        return base + (None,) * 8 + (str(exc)[:2000],)
+        return base + (None,) * 8 + (str(exc),)
 
 
 def run_sweep(spark: SparkSession, frame: DataFrame, grid: DataFrame, cfg: SweepConfig,

@@ -17,7 +17,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.operators.models import (DEFAULT_PARAMS, ForecastModel, fit_model, load_json, path_exists,
+from gridcast.operators.models import (DEFAULT_PARAMS, MAX_DEPTH, ForecastModel, fit_model, load_json, path_exists,
                                        predict, save_json)
 from gridcast.operators.split import split_time, time_folds
 from gridcast.roles import DEFAULT_ROLES, Roles
@@ -89,6 +89,8 @@ def sample_params(model_type: str, rng: random.Random) -> dict[str, Any]:
             out[name] = rng.choice(spec[2])
     if model_type != "knn":
         out["random_state"] = RANDOM_SEED
+    if "max_depth" in out:  # Spark trees end at MAX_DEPTH, so the space ends there; recorded as fitted
+        out["max_depth"] = min(out["max_depth"], MAX_DEPTH)
     return out
 
 
@@ -129,7 +131,7 @@ def resolve_models(selection: str) -> list[str]:
     if selection == "all":
         return list(SEARCH_SPACES)
     if selection not in SEARCH_SPACES:
-        raise ValueError(f"Unsupported model selection: {selection}")
+        raise ValueError(f"unknown model {selection!r}; known: {sorted(SEARCH_SPACES)}")
     return [selection]
 
 
@@ -144,7 +146,7 @@ def run_tabular(spark: SparkSession, dataset: DataFrame, cfg: TabularConfig,
     if cfg.site != "all":
         dataset = dataset.where(F.col(roles.group) == F.lit(cfg.site))
         if dataset.isEmpty():
-            raise ValueError(f"No rows available for site '{cfg.site}'")
+            raise ValueError(f"site {cfg.site!r} has no rows")
     train, test = split_time(dataset, cfg.train_percent, roles)
     out_dir = cfg.output_dir.rstrip("/") + "/tabular_optimization"
     feats = feature_columns(dataset, roles)
@@ -165,8 +167,7 @@ def run_tabular(spark: SparkSession, dataset: DataFrame, cfg: TabularConfig,
         model = fit_model(train, feats, roles.target, model_type, params)
         cv, _ = cross_validate(train, model_type, params, cfg.n_splits, roles, feats)
         metrics = {"cv_mae": cv, "test_mae": mae(predict(model, test), roles.target), "params": params}
-        if model_type != "knn":
-            model.save(f"{out_dir}/{model_type}_model")
+        model.save(f"{out_dir}/{model_type}_model")
         save_json(spark, metrics, f"{out_dir}/{model_type}_metrics.json")
         save_json(spark, feats, f"{out_dir}/{model_type}_features.json")
         results[model_type] = metrics
@@ -181,6 +182,6 @@ def load_or_train(path: str | None, train: DataFrame, features: Sequence[str], t
     if path and ForecastModel.exists(path):
         return ForecastModel.load(path)
     m = fit_model(train, features, target, model_type, params)
-    if path and model_type != "knn":
+    if path:
         m.save(path)
     return m

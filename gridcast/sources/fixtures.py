@@ -31,7 +31,7 @@ def power_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weather_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly weather panel on the same key; some hours are removed."""
+    """Hourly weather panel on the same key."""
     use_utc(spark)
     ev = table(spark, sf_dir, "events")
     hour = F.date_trunc("hour", F.col("ts").cast("timestamp"))
@@ -45,10 +45,7 @@ def weather_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
                  (F.min(eid % 35) - F.lit(5.0)).alias("temperature_2m"),
                  (F.lit(980.0) + F.max(eid % 60)).alias("pressure_msl"),
                  (F.min(eid % 7) - F.lit(1.0)).alias("precipitation"),
-                 (F.count(F.lit(1)) * F.lit(1.0)).alias("cloud_cover_low"),
-                 F.max(eid).alias("_max_eid"))
-            .where(F.col("_max_eid") % 10 != 0)
-            .drop("_max_eid")
+                 (F.count(F.lit(1)) * F.lit(1.0)).alias("cloud_cover_low"))
             .withColumn("wind_speed_10m", F.col("wind_speed_10m").cast("double")))
 
 
@@ -56,8 +53,7 @@ def ship_day(spark: SparkSession, sf_dir: str, site_col: str = "l_returnflag") -
     """Long daily panel from lineitem (default step counts fit in it)."""
     use_utc(spark)
     li = table(spark, sf_dir, "lineitem")
-    return (li.where(F.col("l_linenumber") != 3)
-            .groupBy(F.col(site_col).cast("string").alias("site_name"),
+    return (li.groupBy(F.col(site_col).cast("string").alias("site_name"),
                      F.col("l_shipdate").cast("timestamp").alias("delivery_time"))
             .agg(F.sum("l_quantity").alias("production"),
                  (F.lit(50.0) * F.count(F.lit(1))).alias("installed_capacity")))

@@ -4,6 +4,7 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gridcast.operators import metrics
 from gridcast.operators.knn import knn_regress
@@ -59,7 +60,7 @@ def test_metrics_match_numpy(spark):
     gm = metrics.group_metrics(pred).toPandas()
     assert list(gm["mae"]) == sorted(gm["mae"])
     empty = pred.where("false")
-    with pytest.raises(ValueError, match="No predictions"):
+    with pytest.raises(ValueError, match="no rows to evaluate"):
         metrics.evaluate(empty)
 
 
@@ -69,3 +70,32 @@ def test_zero_mean_gives_zero_nrmse(spark):
                                  "timestamp timestamp, group string, y_true double, y_pred double")
     assert metrics.global_metrics(pred).first()["eval_nrmse"] == 0.0
     assert metrics.portfolio_metrics(pred).first()["portfolio_nrmse_total"] == 0.0
+
+
+def test_knn_ties_return_k_rows_per_query(spark):
+    """Equal training vectors: the least ids win and k rows come back."""
+    train = spark.range(10_000).select(F.col("id"), F.array(F.lit(1.0), F.lit(2.0)).alias("v"), F.col("id").cast("double").alias("y"))
+    got = knn_regress(train, train.where("id < 50").withColumnRenamed("id", "q"), features="v", target="y", train_id="id",
+                          query_id="q", k=5, weights="uniform").collect()
+    assert len(got) == 50 and all(r["n_neighbors"] == 5 and r["prediction"] == 2.0 for r in got)
+
+
+def test_knn_model_on_an_unwritten_frame(spark, tmp_path):
+    """Predictions sit on their own rows although the frame is shuffled and not written; a saved model gives the same."""
+    from gridcast.operators.models import ForecastModel, fit_model, predict
+
+    base = spark.range(20_000).select(F.col("id"), (F.col("id") % 1000).cast("double").alias("x"))
+    train = base.where("id < 1000").withColumn("y", F.col("x") * 2)
+    query = base.repartition(7, F.xxhash64("id")).withColumn("z", F.rand(1)).where("z >= 0")
+    m = fit_model(train, ["x"], "y", "knn", {"n_neighbors": 1, "weights": "uniform"})
+    m.save(str(tmp_path / "m"))
+    for model in (m, ForecastModel.load(str(tmp_path / "m"))):
+        r = predict(model, query).agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("prediction") == F.col("x") * 2).cast("int")).alias("ok")).first()
+        assert (r["n"], r["ok"]) == (20_000, 20_000)
+
+
+def test_large_values_pass_finish_unchanged(spark):
+    from gridcast.plans.queries import finish
+
+    df = spark.createDataFrame([(1e11, 0.1234567891234)], "a double, b double")
+    assert tuple(finish(df, frozenset({"a"})).first()) == (1e11, 0.1234567891234)

@@ -3,10 +3,11 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridcast.operators import chunks, impute, lags, quality
-from tests.helpers import close, gapped_panel, pandas_interpolate, pandas_lags, pandas_plateau, to_spark
+from tests.helpers import close, gapped_panel, pandas_interpolate, sql_lags, sql_plateau, to_spark
 
 
 def _sorted(pdf):
@@ -14,10 +15,10 @@ def _sorted(pdf):
 
 
 @pytest.mark.parametrize("seed", [0, 1])
-def test_plateau_matches_pandas(spark, seed):
+def test_plateau_matches_band_join(spark, seed):
     pdf = gapped_panel(seed)
     got = _sorted(quality.plateau_flags(to_spark(spark, pdf)).toPandas())
-    exp = _sorted(pandas_plateau(pdf))
+    exp = _sorted(sql_plateau(pdf))
     assert (got["is_not_plateau"].to_numpy() == exp["is_not_plateau"].to_numpy()).all()
     assert (~exp["is_not_plateau"]).sum() > 0
 
@@ -25,7 +26,7 @@ def test_plateau_matches_pandas(spark, seed):
 def test_plateau_irregular_interval_and_window(spark):
     pdf = gapped_panel(3, step_h=2)
     got = _sorted(quality.plateau_flags(to_spark(spark, pdf), window="36h").toPandas())
-    exp = _sorted(pandas_plateau(pdf, window="36h"))
+    exp = _sorted(sql_plateau(pdf, hours=36.0))
     assert (got["is_not_plateau"].to_numpy() == exp["is_not_plateau"].to_numpy()).all()
 
 
@@ -66,7 +67,7 @@ def test_interpolation_long_and_trailing_gaps(spark):
 
 def test_impute_cascade_matches_pandas(spark):
     pdf = gapped_panel(4)
-    flagged = pandas_plateau(pdf)
+    flagged = sql_plateau(pdf)
     # reference cascade: mask, interpolate, hour mean, group median, ffill/bfill
     exp = []
     for _, g in flagged.groupby("site_name"):
@@ -87,10 +88,10 @@ def test_impute_cascade_matches_pandas(spark):
 LAGS, SHIFT, ROLL = [3, 5, 24], 3, ((12, 6, "a"), (24, 12, "b"))
 
 
-def test_lags_and_rolling_match_pandas_on_grid(spark):
+def test_lags_and_rolling_match_self_joins_on_grid(spark):
     pdf = gapped_panel(5)
     got = _sorted(lags.lag_features(to_spark(spark, pdf), lags=LAGS, roll_shift=SHIFT, rolling=ROLL).toPandas())
-    exp = _sorted(pandas_lags(pdf, LAGS, SHIFT, ROLL))
+    exp = _sorted(sql_lags(pdf, LAGS, SHIFT, ROLL))
     assert len(got) == len(exp)  # no flag: gap rows are materialised (quirk 16)
     for c in [f"production_lag{L}h" for L in LAGS] + lags.rolling_names(ROLL):
         assert close(got[c], exp[c], 1e-9), c
@@ -100,8 +101,9 @@ def test_lags_with_flags_drop_gaps_and_plateaus(spark):
     pdf = gapped_panel(6)
     flagged = quality.plateau_flags(to_spark(spark, pdf))
     got = _sorted(lags.lag_features(flagged, lags=LAGS, roll_shift=SHIFT, rolling=ROLL).toPandas())
-    exp = pandas_lags(pandas_plateau(pdf), LAGS, SHIFT, ROLL)
-    exp = _sorted(exp[exp["is_not_plateau"].fillna(False).astype(bool)])
+    flags = sql_plateau(pdf)[["site_name", "delivery_time", "is_not_plateau"]]
+    exp = sql_lags(pdf, LAGS, SHIFT, ROLL).merge(flags, on=["site_name", "delivery_time"])
+    exp = _sorted(exp[exp["is_not_plateau"].astype(bool)])
     assert len(got) == len(exp)
     for c in [f"production_lag{L}h" for L in LAGS] + lags.rolling_names(ROLL):
         assert close(got[c], exp[c], 1e-9), c
@@ -130,7 +132,7 @@ def test_chunked_windows_survive_small_chunks(spark, monkeypatch):
         assert close(got[c], ref[c], 1e-12), c
     monkeypatch.setattr(quality, "chunk_size", lambda b, a, m: 5)
     got_p = _sorted(quality.plateau_flags(to_spark(spark, pdf)).toPandas())
-    exp_p = _sorted(pandas_plateau(pdf))
+    exp_p = _sorted(sql_plateau(pdf))
     assert (got_p["is_not_plateau"].to_numpy() == exp_p["is_not_plateau"].to_numpy()).all()
 
 
@@ -146,6 +148,41 @@ def test_positions_and_median(spark):
     assert close(med.loc[emed.index, "median"], emed, 1e-12)
 
 
+@pytest.mark.parametrize("parts,merge", [("4", "true"), ("16", "true"), ("16", "false"), ("200", "true")])
+def test_positions_keep_every_row(spark, parts, merge):
+    """Rows in = rows out and positions = row numbers, however many partitions
+    the range exchange has; one group holds over a third of the rows."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", merge)
+    try:
+        df = spark.range(60_000).select(
+            F.when(F.col("id") % 5 < 2, F.lit("hot")).otherwise(F.concat(F.lit("g"), F.col("id") % 97)).alias("site"),
+            ((F.col("id") * 7919) % 60_000).alias("t"), F.repeat(F.lit("x"), 40).alias("extra"))
+        rank = F.row_number().over(Window.partitionBy("site").orderBy("t")) - 1
+        got = chunks.positions(df, "site", ["t"])
+        r = got.withColumn("rank", rank).agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("rank") != F.col("_pos")).cast("int"))
+                                             .alias("bad")).first()
+        assert (r["n"], r["bad"]) == (60_000, 0)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_supplier_panel_keeps_every_row(spark):
+    """The supplier panel at sf0.1: 465,019 rows come back positioned."""
+    from gridcast.plans.queries import panel
+    from gridcast.sources import fixtures as fx
+
+    p = panel.normalize_target(fx.ship_day(spark, "/root/testdata/sf0.1", site_col="l_suppkey"))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        assert chunks.positions(p, "site_name", ["delivery_time"]).count() == p.count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def test_sampling_interval(spark):
     pdf = gapped_panel(9, step_h=3)
     got = quality.sampling_interval(to_spark(spark, pdf)).toPandas().set_index("site_name")["interval_s"]

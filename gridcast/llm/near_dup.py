@@ -63,9 +63,10 @@ def band_shape(threshold: float = THRESHOLD, recall: float = RECALL, max_hashes:
     ``recall`` at ``threshold`` need at most ``max_hashes`` hashes."""
     best = None
     for rows in range(1, max_hashes + 1):
-        bands = math.ceil(math.log(1 - recall) / math.log(1 - threshold ** rows))
-        if bands * rows <= max_hashes:
-            best = (bands, rows)
+        bands = math.ceil(math.log(1 - recall) / math.log1p(-threshold ** rows))
+        if bands * rows > max_hashes:
+            break  # more rows need still more bands
+        best = (bands, rows)
     if best is None:
         raise ValueError("max_hashes is too small for this recall")
     return best

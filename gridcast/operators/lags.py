@@ -76,7 +76,8 @@ def align_to_grid(df: DataFrame, roles: Roles = DEFAULT_ROLES, *, step="1h") ->
     keyed = df.where(F.col(G).isNotNull() & F.col(T).isNotNull())
     b = group_bounds(keyed, roles).select(G, "_t0")
     on_grid = ((F.unix_micros(F.col(T)) - F.col("_t0")) % F.lit(s)) == 0
-    return _dup_guard(keyed.join(b, G).where(on_grid).drop("_t0"), roles)
+    # duplicates are checked before off-grid rows go, as in hourly_grid
+    return _dup_guard(keyed, roles).join(b, G).where(on_grid).drop("_t0")
 
 
 def lag_names(lags: Sequence[int], prefix: str = "production", unit: str = "h") -> list[str]:

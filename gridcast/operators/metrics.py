@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.roles import DEFAULT_ROLES, Roles
+from gridcast.session import materialize
 
 PRED_COLS = ["timestamp", "group", "y_true", "y_pred"]
 
@@ -71,8 +72,11 @@ def portfolio_metrics(pred: DataFrame) -> DataFrame:
 
 
 def evaluate(pred: DataFrame) -> dict:
-    """All metrics as a dict (the reference's return value); raises when the
-    prediction frame is empty. Two small actions."""
+    """All metrics as a dict; raises when the prediction frame is empty. The
+    frame is written once for its three aggregates. ``per_site_metrics`` is a
+    DataFrame with one row per group: it grows with the groups and stays
+    distributed."""
+    pred = materialize(pred)
     g = global_metrics(pred).first()
     if g is None or not g["n_rows"]:
         raise ValueError("the prediction frame has no rows to evaluate")
@@ -82,8 +86,7 @@ def evaluate(pred: DataFrame) -> dict:
     out["portfolio_mae_per_group"] = out["portfolio_mae_per_site"]
     out["portfolio_rmse_per_group"] = out["portfolio_rmse_per_site"]
     out["n_sites"] = out["n_groups"] = int(p["n_groups"])
-    out["per_site_metrics"] = {r["group"]: {"mae": r["mae"], "rmse": r["rmse"], "nrmse": r["nrmse"]}
-                               for r in group_metrics(pred).toLocalIterator()}
+    out["per_site_metrics"] = group_metrics(pred)
     return out
 
 

@@ -19,7 +19,7 @@ from typing import Any
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.operators.knn import knn_regress
@@ -41,6 +41,19 @@ DEFAULT_PARAMS: dict[str, dict[str, Any]] = {
 }
 
 
+# Fixed values that must equal the reference's: main-path parameters that Spark's estimators have.
+MAIN_PARAMS: dict[str, dict[str, Any]] = {
+    "random_forest": {"n_estimators": 200, "random_state": 42, "max_depth": None, "min_samples_leaf": 1,
+                      "max_features": 1.0, "bootstrap": True},
+    "xgboost": {"n_estimators": 200, "random_state": 42, "learning_rate": 0.05, "max_depth": 6, "subsample": 0.8,
+                "colsample_bytree": 0.8},
+    "lightgbm": {"n_estimators": 200, "random_state": 42, "learning_rate": 0.05, "num_leaves": 63, "max_depth": -1,
+                 "min_child_samples": 20, "subsample": 0.8, "colsample_bytree": 0.8},
+    "knn": {"n_neighbors": 25, "weights": "distance", "p": 2},
+    "lstm": {"seq_len": 168, "weight_decay": 0.0},
+    "transformer": {"seq_len": 8, "weight_decay": 0.0},
+}
+
 SUPPORTED_PARAMS: dict[str, frozenset[str]] = {
     "random_forest": frozenset({"n_estimators", "max_depth", "min_samples_leaf", "max_features", "bootstrap",
                                 "random_state", "seed"}),
@@ -82,6 +95,11 @@ def effective_params(model_type: str, params: dict[str, Any]) -> dict[str, Any]:
     return out
 
 
+def session() -> SparkSession:
+    """The session, also from a thread that has none active."""
+    return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+
+
 def _subset(frac) -> str:
     if frac is None or float(frac) >= 1.0:
         return "all"
@@ -144,8 +162,6 @@ class ForecastModel:
         return self.model.transform(df)
 
     def save(self, path: str) -> None:
-        from pyspark.sql import SparkSession
-
         meta = {"model_type": self.model_type, "features": self.features, "target": self.target}
         if isinstance(self.model, KNNModel):  # the training table
             self.model.train.write.mode("overwrite").parquet(path.rstrip("/") + "/model")
@@ -153,24 +169,20 @@ class ForecastModel:
         else:
             self.model.write().overwrite().save(path.rstrip("/") + "/model")
 
-        s = SparkSession.getActiveSession()
+        s = session()
         s.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(
             path.rstrip("/") + "/meta")
 
     @staticmethod
     def exists(path: str) -> bool:
-        from pyspark.sql import SparkSession
-
-        s = SparkSession.getActiveSession()
+        s = session()
         jvm = s.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/meta")
         return p.getFileSystem(s.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
     @staticmethod
     def load(path: str) -> "ForecastModel":
-        from pyspark.sql import SparkSession
-
-        s = SparkSession.getActiveSession()
+        s = session()
         meta = json.loads(s.read.text(path.rstrip("/") + "/meta").first()[0])
         at = path.rstrip("/") + "/model"
         if meta["model_type"] == "knn":

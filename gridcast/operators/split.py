@@ -137,9 +137,12 @@ def sequence_holdout(seqs: DataFrame, roles: Roles = DEFAULT_ROLES, *, val_fract
     """Mark the last ``max(1, int(clamp(f, .05, .5) * n))`` sequences in
     (group, time) order as validation; none when ``no_cv`` or ``n < 20``."""
     frac = min(max(float(val_fraction), 0.05), 0.5)
-    ranked = positions(seqs.withColumn("_all", F.lit(0)), "_all", [roles.group, roles.time], "_r")
-    n = seqs.count()
+    # only the keys are sorted and counted; the boundary is one key
+    keys = positions(seqs.select(F.lit(0).alias("_all"), roles.group, roles.time), "_all", [roles.group, roles.time], "_r")
+    n = keys.count()
     if no_cv or n < min_sequences:
-        return ranked.withColumn(col, F.lit(False)).drop("_all", "_r")
-    val_size = max(1, int(frac * n))
-    return ranked.withColumn(col, F.col("_r") >= F.lit(n - val_size)).drop("_all", "_r")
+        return seqs.withColumn(col, F.lit(False))
+    first = n - max(1, int(frac * n))
+    at = keys.where(F.col("_r") == first).select(roles.group, F.unix_micros(roles.time).alias("t")).first()
+    g, t = F.col(roles.group), F.unix_micros(F.col(roles.time))
+    return seqs.withColumn(col, (g > F.lit(at[0])) | ((g == F.lit(at[0])) & (t >= F.lit(at["t"]))))

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from gridcast.functions.calendar import calendar_features
 from gridcast.functions.weather import physics_features, weather_features
+from gridcast.operators.chunks import POS_COL
 from gridcast.operators import clean, lags, metrics, panel, quality, impute, scale, split
 from gridcast.operators.sequences import sequence_windows
 from gridcast.plans import oracle as O
@@ -268,7 +269,7 @@ _SHIP_ROLL = [(168, 84, "7d"), (336, 168, "14d")]
 
 def _ship_lagged(spark, d):
     c = SHIP_CFG
-    x = impute.impute_target(quality.plateau_flags(_ship(spark, d)))
+    x = impute.impute_target(quality.plateau_flags(_ship(spark, d), keep_positions=True)).drop(POS_COL)
     x = panel.recompute_target(panel.required_rows(x))
     return lags.lag_features(x, step=c.step, unit=c.lag_unit)
 
@@ -304,7 +305,7 @@ def q_supplier_features(spark, d):
     impute, lags and rolling statistics."""
     c = SHIP_CFG
     x = panel.normalize_target(fx.ship_day(spark, d, site_col="l_suppkey"))
-    x = impute.impute_target(quality.plateau_flags(x))
+    x = impute.impute_target(quality.plateau_flags(x, keep_positions=True)).drop(POS_COL)
     x = panel.recompute_target(panel.required_rows(x))
     return lags.lag_features(x, step=c.step, unit=c.lag_unit).select(R.group, R.time, Y, *_SUPP_COLS)
 
@@ -606,8 +607,7 @@ def q_experiment_grid(spark, d):
 
 # ------------------------------------------------- models (rows-only checks)
 
-SMALL_FOREST = {"n_estimators": 20, "max_depth": 8, "random_state": 42}
-SMALL_BOOST = {"n_estimators": 20, "learning_rate": 0.1, "max_depth": 4, "subsample": 0.8, "random_state": 42}
+FOREST = {"n_estimators": 200, "max_depth": 10, "random_state": 42}
 
 
 def _model_split(spark, d):
@@ -632,13 +632,15 @@ def _forecast(spark, d, model_type, params):
 @query("forest_forecast")
 def q_forest_forecast(spark, d):
     """M1/M5: random-forest forecast of the test period (prediction frame)."""
-    return _forecast(spark, d, "random_forest", SMALL_FOREST)
+    return _forecast(spark, d, "random_forest", FOREST)
 
 
 @query("boosted_forecast")
 def q_boosted_forecast(spark, d):
     """M2/M5: gradient-boosted trees forecast of the test period."""
-    return _forecast(spark, d, "xgboost", SMALL_BOOST)
+    from gridcast.operators.models import MAIN_PARAMS
+
+    return _forecast(spark, d, "xgboost", MAIN_PARAMS["xgboost"])
 
 
 @query("knn_forecast")
@@ -659,31 +661,30 @@ def q_sequence_forecast(spark, d):
 
 @query("cv_mae")
 def q_cv_mae(spark, d):
-    """M7: fold MAEs of a small forest over five expanding time folds."""
+    """M7: fold MAEs of a forest over five expanding time folds."""
     from gridcast.plans.tuning import fold_maes
 
     train, _, feats = _model_split(spark, d)
-    maes = fold_maes(train, "random_forest", SMALL_FOREST, N_FOLDS, features=feats)
+    maes = fold_maes(train, "random_forest", FOREST, N_FOLDS, features=feats)
     return spark.createDataFrame([(i, m) for i, m in enumerate(maes)], "fold int, mae double")
 
 
 @query("param_search")
 def q_param_search(spark, d):
-    """M8/O2: three random forest trials (trees capped at 20), best first."""
+    """M8/O2: three kNN trials over its whole search space, best first."""
     from gridcast.plans.tuning import param_search
 
     train, _, feats = _model_split(spark, d)
-    trials = param_search(train, "random_forest", 3, N_FOLDS, features=feats,
-                          overrides={"n_estimators": 20, "max_depth": 8})
+    trials = param_search(train, "knn", 3, N_FOLDS, features=feats)
     return trials.orderBy("cv_mae", "trial")
 
 
 @query("experiment_results")
 def q_experiment_results(spark, d):
-    """Sequence sweep over two sites, two lengths and both drop
-    options; failed runs are rows with an error text."""
+    """Sequence sweep over all sites, models, lengths and drop options;
+    failed runs are rows with an error text."""
     from gridcast.plans.run import SweepConfig, experiment_grid, run_sweep
 
     frame = clean.clip_rules(process(_joined(spark, d), R, POWER_CFG))
-    grid = experiment_grid(frame, ("lstm",), (6, 12), (False, True), site_start=0, site_end=1)
+    grid = experiment_grid(frame, SWEEP_MODELS, SWEEP_LENGTHS, SWEEP_DROP)
     return run_sweep(spark, frame, grid, SweepConfig(test_size=0.2))

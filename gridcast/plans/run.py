@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass
 from typing import Any
 
 from pyspark.ml.functions import array_to_vector
@@ -14,13 +15,15 @@ from pyspark.sql import types as T
 from gridcast.functions.names import run_name
 from gridcast.operators import clean, metrics
 from gridcast.operators.chunks import positions
-from gridcast.operators.models import SEQUENCE_MODELS, fit_model, predict
+from gridcast.operators.models import (MAIN_PARAMS, SEQUENCE_MODELS, ForecastModel, fit_model, load_json, predict,
+                                       save_json, session)
 from gridcast.operators.panel import group_at
-from gridcast.operators.scale import fit_minmax, fit_standard
+from gridcast.operators.scale import MinMaxScaling, StandardScaling, fit_minmax, fit_standard
 from gridcast.operators.sequences import sequence_windows
 from gridcast.operators.split import holdout_split, sequence_holdout, split_time
-from gridcast.plans.tuning import feature_columns, load_or_train
+from gridcast.plans.tuning import cross_validate, feature_columns, load_or_train
 from gridcast.roles import DEFAULT_ROLES, Roles
+from gridcast.session import materialize
 
 
 def _require_rows(*frames: DataFrame) -> None:
@@ -28,49 +31,88 @@ def _require_rows(*frames: DataFrame) -> None:
         raise ValueError("the split leaves one side without rows")
 
 
-def sequence_predictions(train: DataFrame, test: DataFrame, features: Sequence[str], seq_len: int,
-                         model_type: str = "lstm", params: dict[str, Any] | None = None,
-                         roles: Roles = DEFAULT_ROLES, no_cv: bool = False,
-                         val_fraction: float = 0.2) -> tuple[DataFrame, dict[str, float]]:
+def _windows(df: DataFrame, feats: Sequence[str], seq_len: int, roles: Roles) -> DataFrame:
+    """Key, target and the flattened window as one vector."""
+    w = sequence_windows(df, feats, seq_len, roles)
+    return w.select(roles.group, roles.time, roles.target, array_to_vector(F.flatten("seq")).alias("seq_vec"))
+
+
+@dataclass
+class SequenceModel:
+    """A window regressor with its scalers."""
+
+    model: ForecastModel
+    features: list[str]
+    seq_len: int
+    x_scale: StandardScaling
+    y_scale: MinMaxScaling
+
+    def predict(self, df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
+        scaled = self.y_scale.transform(self.x_scale.transform(df))
+        out = predict(self.model, _windows(scaled, self.features, self.seq_len, roles))
+        return self.y_scale.inverse(out, {"prediction": roles.target, roles.target: roles.target})
+
+    def save(self, path: str) -> None:
+        self.model.save(path)
+        save_json(session(),
+                  {"features": self.features, "seq_len": self.seq_len, "x": asdict(self.x_scale), "y": asdict(self.y_scale)},
+                  path.rstrip("/") + "/scalers")
+
+    @staticmethod
+    def load(path: str) -> SequenceModel:
+        d = load_json(session(), path.rstrip("/") + "/scalers")
+        fields = lambda x: {k: tuple(v) for k, v in x.items()}
+        return SequenceModel(ForecastModel.load(path), d["features"], d["seq_len"], StandardScaling(**fields(d["x"])),
+                             MinMaxScaling(**fields(d["y"])))
+
+
+def train_sequence(train: DataFrame, features: Sequence[str], seq_len: int, model_type: str = "lstm",
+                   params: dict[str, Any] | None = None, roles: Roles = DEFAULT_ROLES, no_cv: bool = False,
+                   val_fraction: float = 0.2) -> tuple[SequenceModel, dict[str, float]]:
     """Sequence model re-aimed on Spark (M4): features are standard-scaled
     and the target min-max scaled on the training rows (A12/A13), windows
     of ``seq_len`` rows are flattened and fed to a regressor; the last
-    sequences form the validation tail (X4). Returns the prediction frame
-    on the test sequences and the validation MAE."""
-    feats = list(features)
-    y = roles.target
-    sx = fit_standard(train, feats)
-    sy = fit_minmax(train, [y])
-    prep = lambda df: sy.transform(sx.transform(df), suffix="")
-    tr = sequence_windows(prep(train), feats, seq_len, roles).withColumn("seq_flat", F.flatten("seq"))
-    te = sequence_windows(prep(test), feats, seq_len, roles).withColumn("seq_flat", F.flatten("seq"))
+    sequences form the validation tail (X4), whose MAE is returned too."""
+    feats, y = list(features), roles.target
+    sx, sy = fit_standard(train, feats), fit_minmax(train, [y])
+    tr = _windows(sy.transform(sx.transform(train)), feats, seq_len, roles)
     if tr.isEmpty():
         raise ValueError("no group has more rows than the sequence length")
-    expand = lambda df: df.withColumn("seq_vec", array_to_vector("seq_flat"))
-    tr = sequence_holdout(expand(tr), roles, val_fraction=val_fraction, no_cv=no_cv)
-    cols = ["seq_vec"]
-    model = fit_model(tr.where(~F.col("is_val")), cols, y, model_type if model_type not in SEQUENCE_MODELS
-                      else "linear", params or {})
+    tr = materialize(sequence_holdout(tr, roles, val_fraction=val_fraction, no_cv=no_cv))
+    fitted = fit_model(tr.where(~F.col("is_val")), ["seq_vec"], y, "linear" if model_type in SEQUENCE_MODELS else model_type,
+                       params or {})
     info = {"cv_mae": float("nan"), "cv_mae_std": float("nan")}
     val = tr.where(F.col("is_val"))
     if not val.isEmpty():
-        vp = sy.inverse(predict(model, val), {"prediction": y, y: y})
-        info = {"cv_mae": float(vp.agg(F.avg(F.abs(F.col("prediction") - F.col(y)))).first()[0]),
-                "cv_mae_std": 0.0}
-    out = sy.inverse(predict(model, expand(te)), {"prediction": y, y: y})
-    return metrics.prediction_frame(out, "prediction", roles), info
+        vp = sy.inverse(predict(fitted, val), {"prediction": y, y: y})
+        info = {"cv_mae": float(vp.agg(F.avg(F.abs(F.col("prediction") - F.col(y)))).first()[0]), "cv_mae_std": 0.0}
+    return SequenceModel(fitted, feats, seq_len, sx, sy), info
+
+
+def sequence_predictions(train: DataFrame, test: DataFrame, features: Sequence[str], seq_len: int,
+                         model_type: str = "lstm", params: dict[str, Any] | None = None,
+                         roles: Roles = DEFAULT_ROLES, no_cv: bool = False,
+                         val_fraction: float = 0.2) -> tuple[DataFrame, dict[str, float]]:
+    """Prediction frame of the test sequences, and the validation MAE."""
+    model, info = train_sequence(train, features, seq_len, model_type, params, roles, no_cv, val_fraction)
+    return metrics.prediction_frame(model.predict(test, roles), "prediction", roles), info
 
 
 def run_pipeline(frame: DataFrame, *, model_type: str = "random_forest", test_size: float = 0.2,
                  one_site_only: bool = False, idx_site: int = 0, on_nine_sites: bool = False,
-                 drop_prod: bool = False, no_cv: bool = False, seq_len: int = 48,
-                 params: dict[str, Any] | None = None, savepath: str | None = None,
-                 delay_days: int = 15, roles: Roles = DEFAULT_ROLES) -> dict[str, Any]:
+                 drop_prod: bool = False, no_cv: bool = False, seq_len: int | None = None,
+                 params: dict[str, Any] | None = None, savepath: str | None = None, skip_train: bool = False,
+                 n_splits: int = 5, delay_days: int = 15, roles: Roles = DEFAULT_ROLES) -> dict[str, Any]:
     """Split, finalise, train (or reuse a saved model) and evaluate.
 
     ``frame`` is the processed and clipped feature frame (before the
-    complete-case filter). The argument ``seq_len`` wins over configured
-    values (quirk 11 fixed); failures raise ``ValueError`` (quirk 13 fixed).
+    complete-case filter). A fit reports ``cv_mae`` and ``cv_mae_std``: of
+    ``n_splits`` expanding time folds for tabular models (always), of the
+    validation tail for sequence models (not with ``no_cv``); NaN for a model
+    that was loaded. ``skip_train`` evaluates the model at ``savepath`` and fails
+    if there is none. The arguments ``params`` and ``seq_len`` win over
+    :data:`MAIN_PARAMS` (quirk 11 fixed); failures raise ``ValueError`` (quirk
+    13 fixed).
     """
     df = frame
     if one_site_only:
@@ -80,15 +122,35 @@ def run_pipeline(frame: DataFrame, *, model_type: str = "random_forest", test_si
     else:
         train, test = split_time(df, 1 - test_size, roles)
     _require_rows(train, test)
+    if model_type not in MAIN_PARAMS:
+        raise ValueError(f"unknown model {model_type!r}; known: {sorted(MAIN_PARAMS)}")
     drop = clean.drop_columns(drop_prod, delay_days)
-    train_m, test_m = clean.model_matrix(train, drop), clean.model_matrix(test, drop)
+    # the fits, folds and scores below all read these written parts
+    train_m, test_m = materialize(clean.model_matrix(train, drop)), materialize(clean.model_matrix(test, drop))
     feats = feature_columns(train_m, roles)
+    params = dict(MAIN_PARAMS[model_type] if params is None else params)
+    saved = bool(savepath) and ForecastModel.exists(savepath)
+    if skip_train and not saved:
+        raise ValueError(f"there is no saved model at {savepath!r} to evaluate")
+    info = {"cv_mae": float("nan"), "cv_mae_std": float("nan")}
     if model_type in SEQUENCE_MODELS:
-        pred, _ = sequence_predictions(train_m, test_m, feats, seq_len, model_type, params, roles, no_cv)
+        n = int(seq_len or params.get("seq_len", MAIN_PARAMS[model_type]["seq_len"]))
+        if saved:
+            model = SequenceModel.load(savepath)
+        else:
+            model, info = train_sequence(train_m, feats, n, model_type, params, roles, no_cv)
+            if savepath:
+                model.save(savepath)
+        pred = model.predict(test_m, roles)
     else:
-        model = load_or_train(savepath, train_m, feats, roles.target, model_type, params)
-        pred = metrics.prediction_frame(predict(model, test_m), "prediction", roles)
-    return metrics.evaluate(pred)
+        if saved:
+            fitted = ForecastModel.load(savepath)
+        else:
+            mean, std = cross_validate(train_m, model_type, params, n_splits, roles, feats, empty=float("nan"))
+            info = {"cv_mae": mean, "cv_mae_std": std}
+            fitted = load_or_train(savepath, train_m, feats, roles.target, model_type, params)
+        pred = predict(fitted, test_m)
+    return metrics.evaluate(metrics.prediction_frame(pred, "prediction", roles)) | info
 
 
 # ------------------------------------------------------------------ sweep
@@ -134,35 +196,39 @@ class SweepConfig:
     test_size: float = 0.2
     no_cv: bool = False
     output_dir: str | None = None
+    parallel: int = 4
 
 
 def run_experiment(frame: DataFrame, exp: dict[str, Any], cfg: SweepConfig,
                    roles: Roles = DEFAULT_ROLES) -> tuple:
-    """One sweep row; any failure becomes a row with NULL metrics and the
-    error text (failure isolation, M10)."""
-    base = (exp["site_index"], exp["name"], exp["model"], exp["seq_len"], exp["drop_prod"])
+    """Metrics and error text of one sweep run; any failure becomes NULL
+    metrics and the whole error text (failure isolation, M10)."""
+    path = f"{cfg.output_dir.rstrip('/')}/models/site_{exp['site_index']}/{exp['name']}" if cfg.output_dir else None
     try:
         m = run_pipeline(frame, model_type=exp["model"], seq_len=exp["seq_len"], drop_prod=exp["drop_prod"],
                          no_cv=cfg.no_cv, test_size=cfg.test_size, one_site_only=True,
-                         idx_site=exp["site_index"], roles=roles)
-        return base + (m["eval_mae"], m["eval_rmse"], (m["eval_nrmse"] or 0.0) * 100,
-                       m["portfolio_mae_total"], m["portfolio_rmse_total"], m["portfolio_nrmse_total"],
-                       m["portfolio_mae_per_site"], m["portfolio_rmse_per_site"], "")
+                         idx_site=exp["site_index"], savepath=path, roles=roles)
+        return (m["eval_mae"], m["eval_rmse"], (m["eval_nrmse"] or 0.0) * 100,
+                m["portfolio_mae_total"], m["portfolio_rmse_total"], m["portfolio_nrmse_total"],
+                m["portfolio_mae_per_site"], m["portfolio_rmse_per_site"], "")
     except Exception as exc:  # noqa: BLE001 - a failed run is a result row
-        return base + (None,) * 8 + (str(exc),)
+        return (None,) * 8 + (str(exc),)
 
 
 def run_sweep(spark: SparkSession, frame: DataFrame, grid: DataFrame, cfg: SweepConfig,
               roles: Roles = DEFAULT_ROLES) -> DataFrame:
-    """Run every grid row against one checkpointed feature frame (the
-    reference rebuilt features per run). Each run is its own set of Spark
-    jobs; results are one small DataFrame, written as CSV per site and
+    """Run every grid row against one written feature frame. The grid is a list
+    of jobs (sites x models x lengths x options), run a few at a time; the two
+    sequence model names share one regressor, so each site, length and option is
+    fitted once. Results are one small DataFrame, written as CSV per site and
     combined when ``output_dir`` is set (S5)."""
-    from gridcast.session import materialize
-
     frame = materialize(frame)
-    rows = [run_experiment(frame, r.asDict(), cfg, roles) for r in grid.orderBy(
-        "site_index", "model", "seq_len", "drop_prod").toLocalIterator()]
+    runs = [r.asDict() for r in grid.orderBy("site_index", "model", "seq_len", "drop_prod").toLocalIterator()]
+    same = lambda r: (r["site_index"], r["model"] in SEQUENCE_MODELS or r["model"], r["seq_len"], r["drop_prod"])
+    todo = {same(r): r for r in reversed(runs)}
+    with ThreadPoolExecutor(cfg.parallel) as pool:
+        done = dict(zip(todo, pool.map(lambda r: run_experiment(frame, r, cfg, roles), todo.values()), strict=True))
+    rows = [(r["site_index"], r["name"], r["model"], r["seq_len"], r["drop_prod"], *done[same(r)]) for r in runs]
     out = spark.createDataFrame(rows, RESULT_SCHEMA)
     if cfg.output_dir:
         base = cfg.output_dir.rstrip("/") + "/sequence_optimization"

@@ -21,6 +21,7 @@ from gridcast.operators.models import (DEFAULT_PARAMS, MAX_DEPTH, ForecastModel,
                                        predict, save_json)
 from gridcast.operators.split import split_time, time_folds
 from gridcast.roles import DEFAULT_ROLES, Roles
+from gridcast.session import materialize
 
 # Fixed values that must equal the reference's: search spaces
 # (name, kind, low, high[, step]) and categorical choices.
@@ -48,23 +49,29 @@ def mae(pred: DataFrame, target: str) -> float:
     return float(r["m"]) if r and r["m"] is not None else float("nan")
 
 
+def usable_folds(df: DataFrame, n_splits: int, roles: Roles = DEFAULT_ROLES) -> list[tuple[DataFrame, DataFrame]]:
+    """The non-empty (train, validation) folds: their bounds are found once."""
+    return [(t, v) for t, v in time_folds(df, n_splits, roles) if not t.isEmpty() and not v.isEmpty()]
+
+
 def fold_maes(df: DataFrame, model_type: str, params: dict[str, Any], n_splits: int = 5,
-              roles: Roles = DEFAULT_ROLES, features: Sequence[str] | None = None) -> list[float]:
-    """MAE per expanding time fold (M7); empty folds are skipped."""
+              roles: Roles = DEFAULT_ROLES, features: Sequence[str] | None = None,
+              folds: list[tuple[DataFrame, DataFrame]] | None = None) -> list[float]:
+    """MAE per expanding time fold (M7); empty folds are skipped. ``folds``
+    (from :func:`usable_folds`) are reused when many parameter sets are tried."""
     feats = list(features) if features is not None else feature_columns(df, roles)
     out = []
-    for train, val in time_folds(df, n_splits, roles):
-        if train.isEmpty() or val.isEmpty():
-            continue
+    for train, val in usable_folds(df, n_splits, roles) if folds is None else folds:
         m = fit_model(train, feats, roles.target, model_type, params)
         out.append(mae(predict(m, val), roles.target))
     return out
 
 
 def cross_validate(df: DataFrame, model_type: str, params: dict[str, Any], n_splits: int = 5,
-                   roles: Roles = DEFAULT_ROLES, features=None, empty: float = float("inf")) -> tuple[float, float]:
+                   roles: Roles = DEFAULT_ROLES, features=None, empty: float = float("inf"),
+                   folds=None) -> tuple[float, float]:
     """Mean and population std of the fold MAEs (``empty`` when no fold)."""
-    maes = fold_maes(df, model_type, params, n_splits, roles, features)
+    maes = fold_maes(df, model_type, params, n_splits, roles, features, folds)
     if not maes:
         return empty, empty
     mean = sum(maes) / len(maes)
@@ -102,10 +109,11 @@ def param_search(df: DataFrame, model_type: str, n_trials: int, n_splits: int =
     (for example a cap on the tree count)."""
     rng = random.Random(seed)
     rows = []
+    folds = usable_folds(df, n_splits, roles)
     for i in range(int(n_trials)):
         params = sample_params(model_type, rng)
         params.update(overrides or {})
-        cv, _ = cross_validate(df, model_type, params, n_splits, roles, features)
+        cv, _ = cross_validate(df, model_type, params, n_splits, roles, features, folds=folds)
         rows.append((i, json.dumps(params, sort_keys=True), float(cv)))
     return df.sparkSession.createDataFrame(rows, "trial int, params string, cv_mae double")
 
@@ -147,7 +155,9 @@ def run_tabular(spark: SparkSession, dataset: DataFrame, cfg: TabularConfig,
         dataset = dataset.where(F.col(roles.group) == F.lit(cfg.site))
         if dataset.isEmpty():
             raise ValueError(f"site {cfg.site!r} has no rows")
+    dataset = materialize(dataset)  # every fold, fit and score reads this copy
     train, test = split_time(dataset, cfg.train_percent, roles)
+    folds = usable_folds(train, cfg.n_splits, roles)
     out_dir = cfg.output_dir.rstrip("/") + "/tabular_optimization"
     feats = feature_columns(dataset, roles)
     results: dict[str, dict[str, Any]] = {}
@@ -165,7 +175,7 @@ def run_tabular(spark: SparkSession, dataset: DataFrame, cfg: TabularConfig,
         else:
             params = dict(DEFAULT_PARAMS[model_type], **cfg.overrides)
         model = fit_model(train, feats, roles.target, model_type, params)
-        cv, _ = cross_validate(train, model_type, params, cfg.n_splits, roles, feats)
+        cv, _ = cross_validate(train, model_type, params, cfg.n_splits, roles, feats, folds=folds)
         metrics = {"cv_mae": cv, "test_mae": mae(predict(model, test), roles.target), "params": params}
         model.save(f"{out_dir}/{model_type}_model")
         save_json(spark, metrics, f"{out_dir}/{model_type}_metrics.json")

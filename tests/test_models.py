@@ -113,3 +113,30 @@ def test_run_pipeline_reuses_saved_model(spark, frame, tmp_path):
     b = run.run_pipeline(frame, model_type="random_forest", params={"n_estimators": 50, "max_depth": 9},
                          savepath=path)
     assert a["eval_mae"] == b["eval_mae"]  # second run loaded the first model
+
+
+def test_main_path_reports_cv_and_skip_train(spark, frame, tmp_path):
+    path, params = str(tmp_path / "knn"), {"n_neighbors": 5, "weights": "distance"}
+    with pytest.raises(ValueError, match="no saved model"):
+        run.run_pipeline(frame, model_type="knn", params=params, savepath=path, skip_train=True)
+    a = run.run_pipeline(frame, model_type="knn", params=params, savepath=path, n_splits=3)
+    train, _ = run.split_time(frame, 0.8)
+    mean, std = tuning.cross_validate(train, "knn", params, 3)
+    assert (a["cv_mae"], a["cv_mae_std"]) == (mean, std)
+    b = run.run_pipeline(frame, model_type="knn", savepath=path, skip_train=True)
+    assert np.isclose(a["eval_mae"], b["eval_mae"]) and np.isnan(b["cv_mae"])
+
+
+def test_sequence_model_is_saved_with_scalers(spark, frame, tmp_path):
+    path = str(tmp_path / "seq")
+    a = run.run_pipeline(frame, model_type="transformer", seq_len=3, savepath=path)
+    b = run.run_pipeline(frame, model_type="transformer", seq_len=3, savepath=path, skip_train=True)
+    assert np.isclose(a["eval_mae"], b["eval_mae"]) and a["cv_mae"] > 0
+
+
+def test_parameters_are_checked():
+    with pytest.raises(ValueError, match="reg_lambda"):
+        models.build_regressor("xgboost", {"reg_lambda": 1.0})
+    with pytest.raises(ValueError, match="30"):
+        models.build_regressor("random_forest", {"max_depth": 35})
+    assert models.effective_params("random_forest", {})["max_depth"] == models.MAX_DEPTH

@@ -9,6 +9,8 @@ rounded, integers widened) so both engines produce comparable values.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +25,9 @@ from gridcast.operators.sequences import sequence_windows
 from gridcast.plans import oracle as O
 from gridcast.plans.pipeline import FeatureConfig, PlateauConfig, process
 from gridcast.roles import DEFAULT_ROLES
-from gridcast.session import use_utc
+from gridcast.session import checkpoint_dir, use_utc
 from gridcast.sources import fixtures as fx
+from gridcast.sources.parquet import read_panel_files
 
 R = DEFAULT_ROLES
 Y = R.target
@@ -118,17 +121,31 @@ def q_normalize_target(spark, d):
     return _power(spark, d)
 
 
-@query("panel_join", O.with_ctes(O.base_ctes("power_hour", "weather_hour"), f"""
+_PANEL_SQL = O.with_ctes(O.base_ctes("power_hour", "weather_hour"), f"""
 select p.*, {', '.join(O.rd('w.' + c, c) for c in ['wind_speed_10m', 'wind_speed_100m', 'wind_gusts_10m',
    'wind_direction_10m', 'wind_direction_100m', 'temperature_2m', 'pressure_msl', 'precipitation',
    'cloud_cover_low'])}
 from power_hour p join weather_hour w
-  on p.site_name is not distinct from w.site_name and p.delivery_time is not distinct from w.delivery_time"""))
+  on p.site_name is not distinct from w.site_name and p.delivery_time is not distinct from w.delivery_time""")
+
+
+@query("panel_join", _PANEL_SQL)
 def q_panel_join(spark, d):
     """Inner null-safe join of the production and weather panels."""
     return _joined(spark, d)
 
 
+@query("panel_scan", _PANEL_SQL)
+def q_panel_scan(spark, d):
+    """The panels written as dataset files in the shared folder, listed
+    (one file is excluded by name), read with UTC times and joined."""
+    folder = f"{checkpoint_dir(spark)}/panel-scan-{uuid.uuid4().hex}"
+    power, weather = fx.power_hour(spark, d), fx.weather_hour(spark, d)
+    for name, df in (("dataset_1", power), ("dataset_2", power), ("dataset_3", weather)):
+        df.write.parquet(f"{folder}/{name}.parquet")
+    return read_panel_files(spark, folder)
+
+
 @query("hourly_grid", O.with_ctes(O.base_ctes("power_hour") + [PN, ("b", f"""
 select site_name, unnest(generate_series(min(delivery_time), max(delivery_time), interval 1 hour)) as delivery_time
 from pn group by site_name""")], f"""
@@ -322,7 +339,7 @@ def _mm_columns() -> list[str]:
     return [c for c in cols if c not in _MM_DROP]
 
 
-def _pipeline_sql(final_cols: list[str]) -> str:
+def _pipeline_ctes() -> list[tuple[str, str]]:
     ctes = (O.base_ctes("power_hour", "weather_hour") + [
         ("j", "select p.*, w.* exclude (site_name, delivery_time) from power_hour p join weather_hour w "
               "on p.site_name = w.site_name and p.delivery_time = w.delivery_time"),
@@ -336,10 +353,15 @@ def _pipeline_sql(final_cols: list[str]) -> str:
            ("ph", O.physics_sql("lg"))])
     all_cols = _mm_columns()
     ctes.append(("cl", O.clip_sql("ph", [c for c in all_cols])))
+    return ctes
+
+
+def _pipeline_sql(final_cols: list[str]) -> str:
+    all_cols = _mm_columns()
     dbl = set(all_cols) - {"site_name", "delivery_time"}
     not_null = " and ".join(f"{c} is not null" for c in all_cols)
     sel = ", ".join(O.rd(c, c) if c in dbl else c for c in final_cols)
-    return O.with_ctes(ctes, f"select {sel} from cl where {not_null}")
+    return O.with_ctes(_pipeline_ctes(), f"select {sel} from cl where {not_null}")
 
 
 def model_frame(spark, d) -> DataFrame:
@@ -363,22 +385,28 @@ def _seq_ctes():
             + [("sq", f"""select site_name, delivery_time, {Y}, _pos,
   count(*) over w as n_steps,
   sum(production + installed_capacity) over w as seq_sum,
+  sum(_pos * (production + 2 * installed_capacity)) over w
+    - (_pos - %d) * sum(production + 2 * installed_capacity) over w as seq_order,
   first_value(delivery_time) over w as seq_start
-from sqp window w as (partition by site_name order by _pos rows between {SEQ_LEN} preceding and 1 preceding)""")])
+from sqp window w as (partition by site_name order by _pos rows between {SEQ_LEN} preceding and 1 preceding)"""
+                .replace("%d", str(SEQ_LEN)))])
 
 
 def _sequences(spark, d):
     s = sequence_windows(_ship(spark, d), ["production", "installed_capacity"], SEQ_LEN)
     return s.select(R.group, R.time, Y, "seq_start", F.size("seq").alias("n_steps"),
-                    F.aggregate(F.flatten("seq"), F.lit(0.0), lambda a, x: a + x).alias("seq_sum"))
+                    F.aggregate(F.flatten("seq"), F.lit(0.0), lambda a, x: a + x).alias("seq_sum"),
+                    F.aggregate(F.transform("seq", lambda v, i: i * (v[0] + 2 * v[1])), F.lit(0.0),
+                                lambda a, x: a + x).alias("seq_order"))
 
 
 @query("sequence_windows", O.with_ctes(_seq_ctes(), f"""
-select site_name, delivery_time, {O.rd(Y, Y)}, seq_start, n_steps, {O.rd('seq_sum', 'seq_sum')}
+select site_name, delivery_time, {O.rd(Y, Y)}, seq_start, n_steps, {O.rd('seq_sum', 'seq_sum')},
+  {O.rd('seq_order', 'seq_order')}
 from sq where _pos >= {SEQ_LEN}"""))
 def q_sequence_windows(spark, d):
     """Previous 24 rows of features per target row (checked by count,
-    start time and element sum)."""
+    start time, element sum and the sum weighted by place)."""
     return _sequences(spark, d)
 
 
@@ -643,7 +671,73 @@ def q_boosted_forecast(spark, d):
     return _forecast(spark, d, "xgboost", MAIN_PARAMS["xgboost"])
 
 
-@query("knn_forecast")
+def _model_rows_ctes() -> list[tuple[str, str]]:
+    """Complete model rows with their feature list, split at the threshold."""
+    cols = _mm_columns()
+    feats = ", ".join(f"cast({c} as double)" for c in cols if c not in ("site_name", "delivery_time", Y))
+    complete = " and ".join(f"{c} is not null" for c in cols)
+    return _pipeline_ctes() + [
+        ("mm", f"select site_name, delivery_time, {Y} as y, [{feats}] as v, "
+               f"row_number() over (order by site_name, delivery_time) as r from cl where {complete}"),
+        ("th", _THR.replace("from pn)", "from mm)")),
+        ("tr", "select mm.* from mm, th where delivery_time < th.thr"),
+        ("te", "select mm.* from mm, th where delivery_time >= th.thr")]
+
+
+_L1 = "list_sum(list_transform(list_zip(a.v, b.v), lambda x: abs(x[1] - x[2])))"
+_L2 = "sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda x: (x[1] - x[2]) * (x[1] - x[2]))))"
+_BY_DISTANCE = "case when min(d) = 0 then avg(case when d = 0 then y end) else sum(y / d) / sum(1.0e0 / d) end"
+
+
+def _knn_forecast_sql(k: int) -> str:
+    ctes = _model_rows_ctes() + [
+        ("pr", f"select a.r as q, b.r, b.y, {_L2} as d from te a cross join tr b"),
+        ("tk", f"select * from (select *, row_number() over (partition by q order by d, r) as rn from pr) t where rn <= {k}"),
+        ("kp", f"select q, {_BY_DISTANCE} as p from tk group by q")]
+    return O.with_ctes(ctes, f"""select te.delivery_time as timestamp, te.site_name as "group", {O.rd('te.y', 'y_true')},
+  {O.rd('kp.p', 'y_pred')} from te join kp on kp.q = te.r""")
+
+
+def _knn_cv_ctes(trials: list[dict]) -> list[tuple[str, str]]:
+    """Fold errors ``trial, fold, mae`` of kNN parameter sets over the folds."""
+    ctes = _model_rows_ctes() + [
+        ("ut", "select distinct delivery_time from tr"),
+        ("un", f"select count(*) as n, count(*) // {N_FOLDS + 1} as s from ut"),
+        ("ur", "select delivery_time, row_number() over (order by delivery_time) - 1 as r from ut"),
+        ("fb", f"""select i as fold, (select delivery_time from ur where r = un.n - ({N_FOLDS} - i) * un.s) as lo,
+  (select delivery_time from ur where r = un.n - ({N_FOLDS - 1} - i) * un.s) as hi from un, range({N_FOLDS}) t(i)"""),
+        ("pr", f"""select fb.fold, a.r as q, a.y as truth, b.r, b.y, {_L1} as d1, {_L2} as d2 from fb
+  join tr a on a.delivery_time >= fb.lo and (fb.hi is null or a.delivery_time < fb.hi) join tr b on b.delivery_time < fb.lo""")]
+    parts = []
+    for i, t in enumerate(trials):
+        p = "avg(y)" if t["weights"] == "uniform" else _BY_DISTANCE
+        parts.append(f"""select {i} as trial, fold, avg(abs(p - truth)) as mae from (
+  select fold, q, any_value(truth) as truth, {p} as p from (
+    select *, d{t['p']} as d, row_number() over (partition by fold, q order by d{t['p']}, r) as rn from pr) x
+  where rn <= {t['n_neighbors']} group by fold, q) y group by fold""")
+    return ctes + [("fm", " union all ".join(parts))]
+
+
+KNN_PARAMS = {"n_neighbors": 25, "weights": "distance", "p": 2}
+
+
+def _search_trials(n: int) -> list[dict]:
+    import random
+
+    from gridcast.plans.tuning import RANDOM_SEED, sample_params
+
+    rng = random.Random(RANDOM_SEED)
+    return [sample_params("knn", rng) for _ in range(n)]
+
+
+def _param_search_sql(n: int) -> str:
+    trials = _search_trials(n)
+    names = ", ".join(f"({i}, '{json.dumps(t, sort_keys=True)}')" for i, t in enumerate(trials))
+    return O.with_ctes(_knn_cv_ctes(trials), f"""select cast(trial as bigint) as trial, params, {O.rd('avg(mae)', 'cv_mae')}
+from fm join (values {names}) n(trial, params) using (trial) group by trial, params""")
+
+
+@query("knn_forecast", _knn_forecast_sql(25))
 def q_knn_forecast(spark, d):
     """M3/M5: kNN forecast of the test period on the model features."""
     return _forecast(spark, d, "knn", {"n_neighbors": 25, "weights": "distance"})
@@ -659,17 +753,18 @@ def q_sequence_forecast(spark, d):
     return pred
 
 
-@query("cv_mae")
+@query("cv_mae", O.with_ctes(_knn_cv_ctes([KNN_PARAMS]), f"""
+select cast(fold as bigint) as fold, {O.rd('mae', 'mae')} from fm"""))
 def q_cv_mae(spark, d):
-    """M7: fold MAEs of a forest over five expanding time folds."""
+    """M7: fold MAEs of a kNN regression over five expanding time folds."""
     from gridcast.plans.tuning import fold_maes
 
     train, _, feats = _model_split(spark, d)
-    maes = fold_maes(train, "random_forest", FOREST, N_FOLDS, features=feats)
+    maes = fold_maes(train, "knn", KNN_PARAMS, N_FOLDS, features=feats)
     return spark.createDataFrame([(i, m) for i, m in enumerate(maes)], "fold int, mae double")
 
 
-@query("param_search")
+@query("param_search", _param_search_sql(3))
 def q_param_search(spark, d):
     """M8/O2: three kNN trials over its whole search space, best first."""
     from gridcast.plans.tuning import param_search

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.session import checkpoint_dir
 
+HOT_LEAST = 10_000
+BROADCAST_ROWS = 200_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -21,6 +23,14 @@ def written(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written_with(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """:func:`written`, and aggregates of the rows that the same pass takes."""
+    seen = Observation()
+    out = written(df.observe(seen, *[m.alias(k) for k, m in metrics.items()]))
+    got = seen.get
+    return out, {k: got.get(k) or 0 for k in metrics}
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(text, UPPER, LOWER)
@@ -40,3 +50,30 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(n.lower())
         out.append(n)
     return out
+
+
+def join_hot(left: DataFrame, right: DataFrame, on: str, weight: str, rows: int, how: str = "inner",
+             most: int | None = None) -> DataFrame:
+    """``left`` joined with ``right``, which has one row per key and says in
+    ``weight`` how many rows of ``left`` have the key. Keys with over a
+    thousandth of the ``rows`` (at most 1000 keys) are joined by broadcast.
+    ``most``: the largest weight, where it is known."""
+    least = max(HOT_LEAST, rows // 1000)
+    if rows <= least or (most is not None and most <= least):
+        return left.join(right, on, how)
+    hot, cold = right.where(F.col(weight) > least), right.where(F.col(weight) <= least)
+    if hot.isEmpty():
+        return left.join(right, on, how)
+    return (left.join(F.broadcast(hot), on)
+            .unionByName(left.join(F.broadcast(hot.select(on)), on, "left_anti").join(cold, on, how),
+                         allowMissingColumns=True))
+
+
+def join_sized(left: DataFrame, right: DataFrame, on: str, weight: str) -> DataFrame:
+    """Inner join with a written table of one row per key (``weight``: rows of
+    ``left`` with the key): by broadcast while it has at most
+    ``BROADCAST_ROWS`` rows, else by shuffle with hot keys split off."""
+    size = right.agg(F.count(F.lit(1)).alias("n"), F.sum(weight).alias("rows")).first()
+    if size["n"] <= BROADCAST_ROWS:
+        return left.join(F.broadcast(right), on)
+    return join_hot(left, right, on, weight, size["rows"])

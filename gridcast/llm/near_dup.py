@@ -9,23 +9,22 @@ ASCII, A-Z lower-cased; a shorter text is one shingle) is at least 0.8.
    recall at the threshold (:func:`band_shape`).
 2. Documents with equal sets form a class; all that follows works on classes,
    so groups of copies cost one row.
-3. Classes are shuffled on their band hashes. In each bucket all members are
-   paired with one leader, so a bucket makes as many pairs as it has members.
-   Pairs of sizes that rule out the similarity are dropped.
-4. Pairs are verified on the full sets. Links are joined to components. Only
-   buckets that still hold several components go on: members that are not yet
-   compared with each other and lie in different components are paired, again
-   by leaders in large buckets, at last completely. So every candidate pair is
-   either verified or lies inside one component: no link between different
-   texts is lost, and a large group of near copies is never expanded into all
-   its pairs.
-
-Hot keys (a bucket, a leader, a class of copies with very many rows) are found
-by their counts and joined by broadcast; as hot means over a thousandth of the
-rows, there are at most a thousand of them.
+3. Classes are shuffled on their band hashes. A bucket of up to ``TINY_BUCKET``
+   members gives its pairs as rows. Members of larger buckets are dealt into
+   blocks of about ``BLOCK`` classes by the largest bucket in reach of two steps
+   over shared buckets; two blocks meet if some bucket has members in both. A task gets the full sets of two blocks and
+   returns only their links' counts per class and a spanning forest, so a large
+   group costs blocks, not pairs, and no bucket is ever cut.
+4. Every candidate pair is verified on the full sets, once: a pair whose blocks
+   meet is verified there, any other as a row. Links are joined to components
+   by alternating stars.
+
+Hot keys (a bucket, a class of copies, a component's root with very many rows) are
+found by their counts and joined by broadcast; as hot means over a thousandth of
+the rows, there are at most a thousand of them.
 
 Result per document: ``class_id`` (least id of its component), ``n_links`` (the
-verified links of its text to other texts) and ``class_size`` (documents in the
+number of other texts, copies counted once, that its text is linked to) and ``class_size`` (documents in the
 component). Defined cases: texts without words have no shingles, link to
 nothing and stand alone, with their own id as class; null ids count after all
 others, a component of null ids has a null class; repeated rows are copies; an
@@ -39,20 +38,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import fresh, table, written
+from gridcast.llm.common import BROADCAST_ROWS, fresh, join_hot, table, written, written_with
 from gridcast.llm.decontaminate import KEEP
 
 SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.999
 MAX_HASHES = 96
-SMALL_BUCKET = 64
-LEADER_ROUNDS = 3
-HOT_LEAST = 10_000
-BROADCAST_ROWS = 500_000
+TINY_BUCKET = 8
+BLOCK = 256
+COLUMNS = 8192
+CLIMBS = 2
 STEP_BYTES = 2 << 20
 _T = np.random.default_rng(42).integers(0, 1 << 63, (256, 64), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -173,38 +172,20 @@ def gram_sets(texts: list[str | None], k: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
-def join_hot(left: DataFrame, right: DataFrame, on: str, weight: str, rows: int, how: str = "inner") -> DataFrame:
-    """``left`` joined with ``right``, which has one row per key and says in
-    ``weight`` how many rows of ``left`` have the key. Keys with over a
-    thousandth of the ``rows`` (at most 1000 keys) are joined by broadcast."""
-    least = max(HOT_LEAST, rows // 1000)
-    if rows <= least:
-        return left.join(right, on, how)
-    hot, cold = right.where(F.col(weight) > least), right.where(F.col(weight) <= least)
-    if hot.isEmpty():
-        return left.join(right, on, how)
-    return (left.join(F.broadcast(hot), on)
-            .unionByName(left.join(F.broadcast(hot.select(on)), on, "left_anti").join(cold, on, how),
-                         allowMissingColumns=True))
-
-
 def components(links: DataFrame) -> DataFrame:
     """``c, root`` of every node of the links ``a, b`` by alternating stars."""
-    e = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    mark = lambda df: df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(
-        F.bit_xor(F.xxhash64("u", "v")), F.lit(0)).alias("x")).first()
-    last = mark(e)
+    state = dict(n=F.count(F.lit(1)), x=F.bit_xor(F.xxhash64("u", "v")))
+    e, last = written_with(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), **state)
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("deg"))
-        large = (join_hot(both, least, "u", "deg", 2 * last["n"]).where(F.col("v") > F.col("u"))
-                 .select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct())
-        large = written(large)
-        n = large.count()
+        large, seen = written_with(join_hot(both, least, "u", "deg", 2 * last["n"]).where(F.col("v") > F.col("u"))
+                                   .select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct(), **state)
         least = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("deg"))
-        small = join_hot(large, least, "u", "deg", n).where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
-        now = mark(e)
+        small = (join_hot(large, least, "u", "deg", seen["n"])
+                 .select(F.explode(F.when(F.col("v") == F.col("m"), F.array(F.struct("u", "v"))).otherwise(
+                     F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))).alias("x")).select("x.u", "x.v"))
+        e, now = written_with(small.distinct(), **state)
         if now == last:
             break
         last = now
@@ -212,6 +193,60 @@ def components(links: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("c"), F.col("v").alias("root")).unionByName(roots.withColumn("root", F.col("c")))
 
 
+def _block_links(threshold: float):
+    """Links between the classes of two blocks (or inside one): rows with ``n``
+    count a class's links, rows without are the edges of a spanning forest."""
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["c1", "c2"], ignore_index=True)
+        sizes = np.array([len(g) for g in rows["grams"]])
+        ids, at = np.unique(np.concatenate(rows["grams"].to_list()), return_inverse=True)
+        doc = np.repeat(np.arange(len(rows)), sizes)
+        shared = np.bincount(at)[at] > 1  # a gram of one class adds to no intersection
+        doc, at = doc[shared], at[shared]
+        at = np.unique(at, return_inverse=True)[1]
+        first = rows["first"].to_numpy()
+        one = first.all()
+        left = np.arange(len(rows)) if one else np.flatnonzero(first)
+        right = left if one else np.flatnonzero(~first)
+        common = np.zeros((len(left), len(right)), np.float32)
+        order = np.argsort(at, kind="stable")
+        doc, at = doc[order], at[order]
+        for low in range(0, int(at[-1]) + 1 if len(at) else 0, COLUMNS):
+            here = slice(*np.searchsorted(at, (low, low + COLUMNS)))
+            m = np.zeros((len(rows), COLUMNS), np.float32)
+            m[doc[here], at[here] - low] = 1
+            common += m[left] @ m[right].T
+        linked = common >= threshold * (sizes[left][:, None] + sizes[right][None, :] - common) - 1e-4
+        if one:
+            linked = np.triu(linked, 1)
+        i, j = np.nonzero(linked)
+        i, j = left[i], right[j]
+        count = np.bincount(np.concatenate((i, j)), minlength=len(rows))
+        root = list(range(len(rows)))
+
+        def find(x):
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        forest = []
+        for x, y in zip(i.tolist(), j.tolist(), strict=True):
+            p, q = find(x), find(y)
+            if p != q:
+                root[max(p, q)] = min(p, q)
+                forest.append((x, y))
+        c1, c2 = rows["c1"].to_numpy(), rows["c2"].to_numpy()
+        f = np.array(forest, np.int64).reshape(-1, 2)
+        has = np.flatnonzero(count)
+        out = pd.DataFrame({"c1": np.concatenate((c1[has], c1[f[:, 0]])), "c2": np.concatenate((c2[has], c2[f[:, 0]])),
+                            "d1": np.concatenate((c1[has], c1[f[:, 1]])), "d2": np.concatenate((c2[has], c2[f[:, 1]]))})
+        out["n"] = pd.array([*count[has].tolist(), *[None] * len(f)], dtype="Int64")
+        return out
+
+    return run
+
+
 class NearDuplicates:
     """The steps of the join over one table of documents."""
 
@@ -230,89 +265,111 @@ class NearDuplicates:
 
         s = self.text.withColumn("s", sign("text"))
         s = s.select("id", "th", F.struct("s.c1", "s.c2").alias("c"), F.col("s.n").alias("n"), F.col("s.bands").alias("bands"))
-        self.signed = written(s)  # no text
+        self.signed, seen = written_with(s, n=F.count(F.lit(1)))  # no text
+        self.total = seen["n"]
         # classes of equal sets; the copy with the least id stands for the class
         first = F.min(F.struct(F.col("id").isNull().alias("null"), "id", "th"))
-        self.classes = written(self.signed.where("n > 0").groupBy("c").agg(
-            first.alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands")))
-
-    def verify(self, pairs: DataFrame) -> DataFrame:
-        """The pairs ``a, b, na, nb`` whose similarity reaches the threshold."""
-        pairs = written(pairs.where(F.least("na", "nb") >= F.ceil(F.greatest("na", "nb") * F.lit(self.threshold - 1e-9))).distinct())
-        n_pairs = pairs.count()
-        if not n_pairs:
-            return pairs.select("a", "b")
-        need = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).groupBy("c").agg(
-            F.count(F.lit(1)).alias("uses"))
-        need = written(need.join(self.classes, "c").select("c", "uses", F.col("rep.id").alias("r_id"), F.col("rep.th").alias("r_th")))
+        self.classes, seen = written_with(self.signed.where("n > 0").groupBy("c").agg(
+            first.alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands")),
+            most=F.max("copies"))
+        self.most_copies = seen["most"]
+
+    def sets(self, need: DataFrame, few: bool) -> DataFrame:
+        """``need`` (``c`` and more columns, one row per class) plus the class's
+        full set ``grams``. The texts are found by the id and hash of the class's
+        first copy; ``few``: ``need`` was counted and may be broadcast."""
+        small = F.broadcast if few else (lambda df: df)
+        wanted = small(need).join(self.classes.select("c", F.col("rep.id").alias("r_id"), F.col("rep.th").alias("r_th")), "c")
         k = self.shingle
 
         @F.pandas_udf("array<long>")
         def grams(texts: pd.Series) -> pd.Series:
             return pd.Series(gram_sets(list(texts), k), dtype=object)
 
-        wanted = F.broadcast(need) if need.count() <= BROADCAST_ROWS else need
-        sets = (self.text.join(wanted, F.col("id").eqNullSafe(F.col("r_id")) & (F.col("th") == F.col("r_th")))
-                .dropDuplicates(["c"]).select("c", "uses", grams("text").alias("grams")))
-        sets = written(sets)
+        found = self.text.join(small(wanted), F.col("id").eqNullSafe(F.col("r_id")) & (F.col("th") == F.col("r_th")))
+        return found.select(*need.columns, grams("text").alias("grams")).dropDuplicates(["c"])
+
+    def verify(self, pairs: DataFrame) -> DataFrame:
+        """The pairs ``a, b, na, nb`` (each once) whose similarity reaches the threshold."""
+        pairs, seen = written_with(pairs, n=F.count(F.lit(1)))
+        if not seen["n"]:
+            return pairs.select("a", "b")
+        need, used = written_with(pairs.select(F.explode(F.array("a", "b")).alias("c")).groupBy("c").agg(
+            F.count(F.lit(1)).alias("uses")), n=F.count(F.lit(1)), most=F.max("uses"))
+        sets = written(self.sets(need, used["n"] <= BROADCAST_ROWS))
         one = sets.select(F.col("c").alias("b"), F.col("grams").alias("gb"), F.col("uses").alias("ub"))
         two = sets.select(F.col("c").alias("a"), F.col("grams").alias("ga"), F.col("uses").alias("ua"))
-        # b is the member (few pairs), a the leader (as many as its bucket has members)
-        full = join_hot(join_hot(pairs, one, "b", "ub", n_pairs), two, "a", "ua", n_pairs)
+        full = join_hot(join_hot(pairs, one, "b", "ub", seen["n"], most=used["most"]), two, "a", "ua", seen["n"], most=used["most"])
         common = F.size(F.array_intersect("ga", "gb"))
         return full.where(common >= F.lit(self.threshold) * (F.col("na") + F.col("nb") - common) - 1e-9).select("a", "b")
 
-    def links(self) -> tuple[DataFrame, DataFrame | None]:
-        """Verified links ``a, b`` between classes, and their components."""
+    def links(self) -> tuple[DataFrame, DataFrame]:
+        """Links ``a, b`` that join the components, and ``c, n_links``."""
+        held = dict(n=F.sum("members"), most=F.max("members"))
         members = self.classes.select(F.explode("bands").alias("bucket"), "c", "n")
-        lead = lambda m: m.groupBy("bucket").agg(
-            F.min(F.struct("c", "n")).alias("lead"), F.count(F.lit(1)).alias("members"))
-        heads = written(lead(members).where("members > 1"))
-        m = written(join_hot(members, heads, "bucket", "members", heads.agg(F.sum("members")).first()[0] or 0))
-        links, comps, turn = None, None, 0
-        while not m.isEmpty():
-            led = m.where(F.col("c") != F.col("lead.c"))
-            other = led if comps is None else led.where(F.col("lab") != F.col("lead_lab"))
-            pairs = other.select(F.col("lead.c").alias("a"), F.col("c").alias("b"), F.col("lead.n").alias("na"), F.col("n").alias("nb"))
-            if comps is not None:  # small buckets, and all of them after the leader rounds: every pair left
-                few = led.where(F.col("members") <= (SMALL_BUCKET if turn < LEADER_ROUNDS else 1 << 62))
-                x, y = few.select("bucket", "c", "n", "lab"), few.select("bucket", F.col("c").alias("d"), F.col("n").alias("nd"), F.col("lab").alias("lab_d"))
-                pairs = pairs.unionByName(x.join(y, "bucket").where((F.col("c") < F.col("d")) & (F.col("lab") != F.col("lab_d")))
-                                          .select(F.col("c").alias("a"), F.col("d").alias("b"), F.col("n").alias("na"), F.col("nd").alias("nb")))
-                led = led.where(F.col("members") > (SMALL_BUCKET if turn < LEADER_ROUNDS else 1 << 62))
-            new = written(self.verify(pairs))
-            links = new if links is None else written(links.unionByName(new).distinct())
-            comps = written(components(links))
-            # buckets that still hold several components, without the leader just compared with all
-            rest = led.select("bucket", "c", "n").join(comps, "c", "left").select(
-                "bucket", "c", "n", F.coalesce("root", "c").alias("lab"))
-            rest = written(rest)
-            g = rest.groupBy("bucket").agg(F.min(F.struct("c", "n", "lab")).alias("x"), F.count(F.lit(1)).alias("members"),
-                                           F.min("lab").alias("lo"), F.max("lab").alias("hi"))
-            g = written(g.where("lo != hi").select("bucket", F.struct("x.c", "x.n").alias("lead"), F.col("x.lab").alias("lead_lab"), "members"))
-            m = written(join_hot(rest, g, "bucket", "members", g.agg(F.sum("members")).first()[0] or 0))
-            turn += 1
-        return links, comps
+        heads, got = written_with(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), **held)
+        m = written(join_hot(members, heads, "bucket", "members", got["n"], most=got["most"]))
+
+        # blocks of the members of large buckets, and which blocks meet
+        large = m.where(F.col("members") > TINY_BUCKET)
+        home = large.groupBy("c").agg(F.max(F.struct("members", "bucket")).alias("home"))
+        for _ in range(CLIMBS):  # towards the largest bucket nearby, so that a group's members share few homes
+            tops = large.join(home, "c").groupBy("bucket").agg(F.max("home").alias("home"), F.max("members").alias("w"))
+            home = (join_hot(large.select("bucket", "c"), tops, "bucket", "w", got["n"], most=got["most"])
+                    .groupBy("c").agg(F.max("home").alias("home")))
+        home, placed = written_with(home.select("c", F.col("home.bucket").alias("home")), n=F.count(F.lit(1)))
+        size, big = written_with(home.groupBy("home").agg(F.count(F.lit(1)).alias("w")), most=F.max("w"))
+        place = written(join_hot(home, size, "home", "w", placed["n"], most=big["most"]).select("c", F.struct("home", F.pmod(
+            F.xxhash64("c"), F.ceil(F.col("w") / F.lit(BLOCK)).cast("long")).alias("k")).alias("block")))
+        held_by = large.select("bucket", "c").join(place, "c").select("bucket", "block").distinct()
+        meet = written(held_by.join(held_by.withColumnRenamed("block", "block2"), "bucket")
+                       .where(F.col("block") <= F.col("block2")).select("block", "block2").distinct())
+
+        # pairs of tiny buckets, but for those whose blocks meet
+        after = Window.partitionBy("bucket").orderBy("c").rowsBetween(1, TINY_BUCKET - 1)
+        near = F.least("na", "nb") >= F.ceil(F.greatest("na", "nb") * F.lit(self.threshold - 1e-9))
+        pairs = (m.where(F.col("members") <= TINY_BUCKET)
+                 .select("c", "n", F.collect_list(F.struct("c", "n")).over(after).alias("later"))
+                 .select("c", "n", F.explode("later").alias("d"))
+                 .select(F.col("c").alias("a"), F.col("d.c").alias("b"), F.col("n").alias("na"), F.col("d.n").alias("nb"))
+                 .where(near).distinct())
+        if placed["n"]:
+            side = lambda c, x: place.select(F.col("c").alias(c), F.col("block").alias(x))
+            pairs = pairs.join(side("a", "x"), "a", "left").join(side("b", "y"), "b", "left")
+            pairs = (pairs.withColumns({"block": F.least("x", "y"), "block2": F.greatest("x", "y")})
+                     .withColumn("both", F.col("x").isNotNull() & F.col("y").isNotNull()))
+            pairs = pairs.where("not both").unionByName(pairs.where("both").join(meet, ["block", "block2"], "left_anti"))
+        links = written(self.verify(pairs.select("a", "b", "na", "nb")))
+        degree = links.select(F.explode(F.array("a", "b")).alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("n_links"))
+        if not placed["n"]:
+            return links, degree
+
+        # the blocks' sets, two blocks to a group
+        met = meet.select(F.struct("block", "block2").alias("pair"), F.explode(F.array_distinct(F.array("block", "block2"))).alias("block"))
+        sets = written(self.sets(place, placed["n"] <= BROADCAST_ROWS))
+        found = written(sets.join(met, "block").select("pair", F.col("c.c1").alias("c1"), F.col("c.c2").alias("c2"),
+                                                       (F.col("block") == F.col("pair.block")).alias("first"), "grams")
+                        .groupBy("pair").applyInPandas(_block_links(self.threshold), "c1 long, c2 long, d1 long, d2 long, n long"))
+        this, that = F.struct("c1", "c2"), F.struct(F.col("d1").alias("c1"), F.col("d2").alias("c2"))
+        links = links.unionByName(found.where("n is null").select(F.greatest(this, that).alias("a"), F.least(this, that).alias("b")))
+        degree = (degree.unionByName(found.where("n is not null").select(this.alias("c"), F.col("n").alias("n_links")))
+                  .groupBy("c").agg(F.sum("n_links").alias("n_links")))
+        return written(links.distinct()), degree
 
     def judged(self) -> DataFrame:
         """``id, th, n, rep`` (least copy of the component), ``n_links``,
         ``class_size``, one row per document."""
-        links, comps = self.links()
+        links, degree = self.links()
+        comps = components(links)
         cl = self.classes.select("c", "rep", "copies")
-        if links is None:
-            cl = cl.select("c", "copies", F.col("rep").alias("best"), F.lit(0).cast("long").alias("n_links"), F.col("copies").alias("class_size"))
-        else:
-            degree = links.select(F.col("a").alias("c")).unionByName(links.select(F.col("b").alias("c"))).groupBy("c").agg(
-                F.count(F.lit(1)).alias("n_links"))
-            linked = comps.join(cl, "c").join(degree, "c")
-            whole = linked.groupBy("root").agg(F.min("rep").alias("best"), F.sum("copies").alias("class_size"),
-                                               F.count(F.lit(1)).alias("texts"))
-            linked = join_hot(linked.drop("rep"), whole, "root", "texts", linked.count()).select("c", "best", "n_links", "class_size")
-            cl = (cl.join(linked, "c", "left")
-                  .select("c", "copies", F.coalesce("best", "rep").alias("best"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                          F.coalesce("class_size", "copies").alias("class_size")))
-        total = self.signed.count()
-        d = join_hot(self.signed.where("n > 0").select("id", "th", "n", "c"), cl, "c", "copies", total)
+        linked = written(comps.join(cl, "c").join(degree, "c"))
+        whole, got = written_with(linked.groupBy("root").agg(F.min("rep").alias("best"), F.sum("copies").alias("class_size"),
+                                                             F.count(F.lit(1)).alias("texts")), most=F.max("texts"))
+        linked = join_hot(linked.select("c", "root", "n_links"), whole, "root", "texts", self.total, most=got["most"])
+        cl = cl.join(linked.select("c", "best", "n_links", "class_size"), "c", "left").select(
+            "c", "copies", F.coalesce("best", "rep").alias("best"),
+            F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("class_size", "copies").alias("class_size"))
+        d = join_hot(self.signed.where("n > 0").select("id", "th", "n", "c"), cl, "c", "copies", self.total, most=self.most_copies)
         alone = self.signed.where("n = 0").select("id", "th", "n", F.struct(F.col("id").isNull().alias("null"), "id", "th").alias("best"),
                                                   F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("class_size"))
         return d.select(*alone.columns).unionByName(alone)

@@ -7,11 +7,12 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from gridcast.llm import decontaminate, html_extract, langid, near_dup, quality, url_filter
+from gridcast.llm import common, decontaminate, html_extract, langid, near_dup, quality, url_filter
 
 SF = "/root/testdata/sf0.001"
 
@@ -158,7 +159,8 @@ def gram_set(t, k=5):
     return {tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
 
 
-def brute_classes(rows):
+def brute_classes(rows, links=None):
+    """Component of each row; ``links`` gets the linked sets of each set."""
     sets = [(i, gram_set(t)) for i, t in rows]
     par = list(range(len(rows)))
 
@@ -174,10 +176,20 @@ def brute_classes(rows):
     for (a, b), n in shared.items():
         if n / (len(sets[a][1]) + len(sets[b][1]) - n) >= 0.8:
             par[max(find(a), find(b))] = min(find(a), find(b))
+            x, y = frozenset(sets[a][1]), frozenset(sets[b][1])
+            if links is not None and x != y:
+                links[x].add(y)
+                links[y].add(x)
     return [find(k) for k in range(len(rows))]
 
 
-def test_near_duplicates_against_brute_force(spark):
+@pytest.mark.parametrize("tiny,block", [(8, 256), (2, 4)])
+def test_near_duplicates_against_brute_force(spark, monkeypatch, tiny, block):
+    """Components, link counts and kept documents; the second case sends all
+    larger buckets through many small blocks."""
+    monkeypatch.setattr(near_dup, "TINY_BUCKET", tiny)
+    monkeypatch.setattr(near_dup, "BLOCK", block)
+    monkeypatch.setattr(near_dup, "COLUMNS", 50)
     rng = random.Random(8)
     rows, vocab = [], [f"v{i}" for i in range(400)]
     for fam in range(12):
@@ -192,7 +204,8 @@ def test_near_duplicates_against_brute_force(spark):
     rng.shuffle(rows)
     rows += [(9000, None), (9001, ""), (9002, "?!")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    root = brute_classes(rows)
+    links = defaultdict(set)
+    root = brute_classes(rows, links)
     least = defaultdict(lambda: 1 << 60)
     for (i, _), r in zip(rows, root, strict=True):
         least[r] = min(least[r], i)
@@ -200,6 +213,8 @@ def test_near_duplicates_against_brute_force(spark):
     for (i, _), r in zip(rows, root, strict=True):
         assert got[i]["class_id"] == least[r], i
         assert got[i]["class_size"] == root.count(r)
+    for i, t in rows:
+        assert got[i]["n_links"] == len(links[frozenset(gram_set(t))]), i
     kept = near_dup.drop_near_duplicates(df, recall=0.999999, max_hashes=300)
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(least.values())
 
@@ -218,7 +233,7 @@ def test_near_duplicate_edges(edge_docs):
 
 
 def test_components_and_hot_joins(spark, monkeypatch):
-    monkeypatch.setattr(near_dup, "HOT_LEAST", 20)
+    monkeypatch.setattr(common, "HOT_LEAST", 20)
     n = spark.range(400)
     c = lambda x: F.struct(x.cast("long").alias("c1"), F.lit(0).cast("long").alias("c2"))
     star = n.where("id > 0 and id < 200").select(c(F.col("id")).alias("a"), c(F.lit(0)).alias("b"))

@@ -54,6 +54,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        # checkpoint files go when their frame is no longer referenced
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.constraintPropagation.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",

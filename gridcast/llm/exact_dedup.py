@@ -21,24 +21,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import fresh, lower_ascii, table
+from gridcast.llm.common import fresh, lower_ascii, table, written
 
 TOP = 1000
 COUNTERS = 8192
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", top: int = TOP,
-                counters: int = COUNTERS) -> DataFrame:
-    """``docs`` plus ``keep_id``, ``group_size``, ``kept`` and ``text_sha256``
-    (input columns of these names get underscores added); all rows return."""
-    out = ["keep_id", "group_size", "kept", "text_sha256"]
-    base = docs.select(*[F.col(f"`{c}`").alias(c + "_" if c.lower() in out else c) for c in docs.columns])
-    digest = F.sha2(lower_ascii(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), 256)
-    d = base.withColumn("text_sha256", digest)
+def judge_copies(d: DataFrame, id_col: str = "doc_id", top: int = TOP, counters: int = COUNTERS) -> DataFrame:
+    """``d``, which has ``text_sha256``, plus ``keep_id``, ``group_size`` and
+    ``kept``. ``d`` is read several times, so it should be a narrow table."""
     hk, hs, hd = fresh(d, "hk", "hs", "hd")
-
-    # 1. frequent digests: a summary of fixed size
     keys = d.select(F.col("text_sha256").alias("s"), F.col(f"`{id_col}`").alias("i"))
+    # 1. frequent digests: a summary of fixed size
     cand = (keys.agg(F.expr(f"approx_top_k(s, {int(top)}, {int(counters)})").alias("t"))
             .select(F.explode("t").alias("x")).where(F.col("x.count") > 1).select(F.col("x.item").alias("c")))
     # 2. verified winners of the candidates: at most `top` rows, hence safe to broadcast
@@ -64,9 +58,23 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return settled.unionByName(rest).drop(hk, hs, hd)
 
 
+def digests(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` plus ``text_sha256``, the digest of the normalised text."""
+    added = ("keep_id", "group_size", "kept", "text_sha256")
+    base = docs.select(*[F.col(f"`{c}`").alias(c + "_" if c.lower() in added else c) for c in docs.columns])
+    return base.withColumn("text_sha256", F.sha2(lower_ascii(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), 256))
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+    """``docs`` plus ``keep_id``, ``group_size``, ``kept`` and ``text_sha256``
+    (input columns of these names get underscores added); all rows return."""
+    return judge_copies(digests(docs, text_col), id_col, **kw)
+
+
 def op5_exact_dedup(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    narrow = written(digests(docs).select("doc_id", "text_sha256"))  # every text is read once
+    return judge_copies(narrow).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 OP5_SQL = """

@@ -27,11 +27,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import fresh, table, written
+from gridcast.llm.common import fresh, join_sized, table, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 SEED = "mix-1"
-CHUNK_ROWS = 20_000
+CHUNK_ROWS = 1000
 MAX_REPEAT = 3
 
 
@@ -69,11 +69,11 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share
 def queue(sized: DataFrame, targets: DataFrame) -> DataFrame:
     """The sized rows with ``source_size, target`` and ``done``: the words of
     the source up to and including the row, in the source's shuffled order."""
-    t = targets.withColumn("chunks", F.ceil(F.col("source_rows") / F.lit(CHUNK_ROWS)))
     u = F.conv(F.substring("mix_key", 1, 8), 16, 10).cast("long")
-    q = (sized.join(F.broadcast(t).withColumnRenamed("source", "t_source"),
-                    F.col("source").eqNullSafe(F.col("t_source")))
-         .withColumn("chunk", F.floor(u * F.col("chunks") / F.lit(float(1 << 32)))).drop("t_source", "chunks"))
+    chunks = F.ceil(F.col("source_rows") / F.lit(CHUNK_ROWS))
+    q = (join_sized(sized.withColumn("by", F.struct("source")), targets.select(F.struct("source").alias("by"), "source_size",
+                                                                              "source_rows", "target"), "by", "source_rows")
+         .withColumn("chunk", F.floor(u * chunks / F.lit(float(1 << 32)))))
     q = written(q)
     carry = (q.groupBy("source", "chunk").agg(F.sum("size").alias("n"))
              .withColumn("carry", F.coalesce(F.sum("n").over(
@@ -108,10 +108,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: float = 1.
         .otherwise(F.array().cast("array<double>"))
     q = q.withColumn("starts", served)
     spent = (q.groupBy("source").agg(F.sum(F.size("starts") * F.col("size")).alias("spent"),
-                                     F.max("size").alias("largest"), F.first("target").alias("g_target"))
-             .select(F.col("source").alias("g_source"), "spent", "largest",
-                     (F.col("g_target") - F.col("spent")).alias("gap")))
-    q = q.join(F.broadcast(spent), F.col("source").eqNullSafe(F.col("g_source"))).drop("g_source")
+                                     F.max("size").alias("largest"), F.first("target").alias("g_target"),
+                                     F.count(F.lit(1)).alias("rows"))
+             .select(F.struct("source").alias("by"), "spent", "largest", "rows", (F.col("g_target") - F.col("spent")).alias("gap")))
+    q = join_sized(q, written(spent), "by", "rows").drop("rows")
 
     # the gap that the straddling document leaves: the next copies that fit, found among the few whose
     # places lie within 8 times the largest document behind the cut

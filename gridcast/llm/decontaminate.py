@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from gridcast.llm.common import table, written
 
 WINDOW = 10
-MAX_WINDOWS = 1_000_000
+MAX_WINDOWS = 200_000
 KEEP = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 WORD = re.compile(r"[0-9A-Za-z\x80-\U0010FFFF]+")
 ADDED = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hit_spans")
@@ -53,16 +53,14 @@ class WindowIndex:
     """Word ids, and per window length the sorted hashes of the windows."""
 
     def __init__(self, rows: list[tuple[str, list[str]]]):
-        self.items = {tuple(key.encode("utf-8", "surrogatepass").split(b" ")): ids for key, ids in rows}
+        self.items = {key.encode("utf-8", "surrogatepass"): ids for key, ids in rows}
         self.vocab: dict[bytes, int] = {}
+        by_length: dict[int, list[list[int]]] = {}
         for key in self.items:
-            for w in key:
-                self.vocab.setdefault(w, len(self.vocab))
+            words = key.split(b" ")
+            by_length.setdefault(len(words), []).append([self.vocab.setdefault(w, len(self.vocab)) for w in words])
         self.random = np.random.default_rng(7).integers(1, 1 << 63, len(self.vocab) + 1, dtype=np.uint64) | np.uint64(1)
-        self.hashes = {}
-        for k in sorted({len(key) for key in self.items}):
-            ids = np.array([[self.vocab[w] for w in key] for key in self.items if len(key) == k])
-            self.hashes[k] = np.unique(self.mixed(ids.T))
+        self.hashes = {k: np.unique(self.mixed(np.array(ids).T)) for k, ids in sorted(by_length.items())}
 
     def mixed(self, columns) -> np.ndarray:
         total = np.uint64(0)
@@ -85,7 +83,7 @@ class WindowIndex:
             h = self.mixed(ids[at + j] for j in range(k))
             near = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
             for i in at[hashes[near] == h].tolist():
-                hit = self.items.get(tuple(words[i:i + k]))
+                hit = self.items.get(b" ".join(words[i:i + k]))
                 if hit is not None:
                     spans.append((i, i + k))
                     found.update(hit)

@@ -19,7 +19,7 @@ from gridcast.llm.common import table
 from gridcast.session import checkpoint_dir
 
 #: A document is rejected if no language has at least this mean word probability.
-LEAST_LANGUAGE_SCORE = 0.5
+LEAST_LANGUAGE_SCORE = 0.3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

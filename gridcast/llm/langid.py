@@ -49,7 +49,7 @@ EPOCHS = 3
 SEQUENCE = 48
 RUN = 12
 BLOCK = 64
-SLICE = 1 << 19
+SLICE = 1 << 17
 MULT = np.uint64(0x9E3779B97F4A7C15)
 _LETTER: dict[int, np.ndarray] = {}
 
@@ -345,7 +345,7 @@ class Model:
             if not t:
                 continue
             c = code_points(t)
-            if len(c) <= SLICE // 8:
+            if len(c) <= SLICE // 2:
                 short.append((i, c))
                 held += len(c)
             else:

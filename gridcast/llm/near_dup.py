@@ -52,7 +52,7 @@ TINY_BUCKET = 8
 BLOCK = 256
 COLUMNS = 8192
 CLIMBS = 2
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 19
 _T = np.random.default_rng(42).integers(0, 1 << 63, (256, 64), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 

@@ -37,12 +37,16 @@ from gridcast.llm.common import table
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.S)
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
-RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "object", "canvas", "select",
-       "title", "audio", "video", "xmp", "noembed", "noframes"}
+RAW = {"script", "style", "noscript", "textarea", "iframe", "title", "xmp", "noembed", "noframes"}
+RAW_END = {tag: re.compile(rf"</{tag}(?:[\s/][^>]*)?(?:>|\Z)", re.I) for tag in RAW}
+DROPPED = {"template", "svg", "canvas", "select", "audio", "video", "annotation", "annotation-xml"}  # markup like any other, but left out
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
           "img", "ins", "kbd", "label", "mark", "nobr", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike",
-          "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
+          "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
+          "math", "mi", "mn", "mo", "ms", "mtext", "mspace", "mrow", "mfrac", "msqrt", "mroot", "mstyle", "merror",
+          "mpadded", "mphantom", "msub", "msup", "msubsup", "munder", "mover", "munderover", "mmultiscripts",
+          "mprescripts", "menclose", "mfenced", "maction", "semantics"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"tr", "td", "th", "thead"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"},
@@ -97,12 +101,21 @@ def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order."""
     root = Element("html", None, "")
     here, out, block = root, [], None
-    raw_until = None
-    for m in TOKEN.finditer(page):
+    dropped = None
+    at = 0
+    while at < len(page):
+        m = TOKEN.match(page, at)
+        at = m.end()
         closing, tag, attrs, text = m.groups()
-        if raw_until is not None:
-            if closing and tag.lower() == raw_until:
-                raw_until = None
+        if tag is not None and not closing and not attrs.rstrip().endswith("/"):
+            raw = tag.lower()
+            if raw in RAW and (dropped is None or raw in ("script", "style")):
+                end = RAW_END[raw].search(page, at)  # the body is no markup: only its own end tag ends it
+                at = end.end() if end else len(page)
+                continue
+        if dropped is not None:
+            if closing and tag.lower() == dropped:
+                dropped = None
             continue
         if text is not None:
             if block is None:
@@ -122,8 +135,8 @@ def blocks_of(page: str) -> list[Block]:
             continue
         tag = tag.lower()
         if not closing:
-            if tag in RAW and not attrs.rstrip().endswith("/"):
-                raw_until = tag
+            if tag in DROPPED and not attrs.rstrip().endswith("/"):
+                dropped = tag
                 continue
             if tag == "br":
                 if block is not None:

@@ -143,6 +143,21 @@ def test_any_markup_is_read(page):
     html_extract.main_text(page)
 
 
+@pytest.mark.parametrize("raw", [
+    "<script>for(var i=0;i<n;i++){f(i);}</script>", "<script>if(a<b){x=1}</script>", "<SCRIPT>if(a<b){x='it}</script\n>",
+    "<script>var a='<!-- ';</script>", '<script>var a="<b title=\\"";</script/>', "<style>a{content:'<!--'}</style x>",
+    "<textarea><!-- <i</textarea>", "<script>'</scripts>';i<n</script>", "<template><script>a<b+\"'</script></template>",
+    "<svg><title>t<b</title><style>/*<x '*/</style></svg>"])
+def test_raw_text_ends_at_its_own_end_tag(raw):
+    assert html_extract.main_text(raw + "<article><p>Hello it's me</p></article>") == "Hello it's me"
+    assert html_extract.main_text(f"<article><p>One</p>{raw}<p>Two</p></article>" + raw) == "One\nTwo"
+
+
+def test_math_and_object_text_is_kept():
+    page = "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x</annotation></math>.</p><object data=a><p>Plain</p></object></article>"
+    assert html_extract.main_text(page).split("\n") == ["Let x=1.", "Plain"]
+
+
 def test_html_edges(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "<p>"), (4, "<script>" + "x" * 300_000), (4, "<article><p>" + "w " * 50_000)],
                                "page_id long, html string").withColumn("main_text", F.lit("clash"))

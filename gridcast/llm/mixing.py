@@ -9,8 +9,13 @@ including it, divided by the source's target. Serving copies in order of
 virtual finish time keeps all sources in proportion at every point of the mix,
 and the budget is spent at virtual time 1: the queue is range-sorted on the
 virtual finish time and cut there. The one document per source that straddles
-the cut is left out, and the words it leaves unspent are filled with the next
-documents of the source that still fit.
+the cut is left out, and the words it leaves unspent are filled: the copies
+behind the cut are offered in queue order and each that still fits is taken,
+until no untaken copy behind the cut fits. They are offered in batches of at
+most ``FILL_ROWS`` rows a source, found by counts per range. With
+``refill=False`` (``op3_mixing``, whose SQL has this rule) one running sum
+over the copies within 8 times the largest document does the filling, and ends
+at the first copy that does not fit.
 
 Cumulative sums never meet in one task: a source is dealt into ranges of its
 digest (``CHUNK_ROWS`` rows each), summed within a range and carried over the
@@ -24,6 +29,8 @@ the added names get underscores.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +39,7 @@ from gridcast.llm.common import fresh, join_sized, table, written
 WORD = r"[^\x20\x09-\x0D]+"
 SEED = "mix-1"
 CHUNK_ROWS = 1000
+FILL_ROWS = 1000
 MAX_REPEAT = 3
 
 
@@ -86,8 +94,55 @@ def queue(sized: DataFrame, targets: DataFrame) -> DataFrame:
     return q.withColumn("done", F.col("inside") + F.col("carry")).drop("c_source", "c_chunk", "carry", "inside")
 
 
+def refilled(q: DataFrame, spent: DataFrame, max_repeat: int) -> DataFrame | None:
+    """The copies behind the cut that fill the gaps, ``f_source, f_done, more``
+    per row of ``q`` with any. ``spent`` has ``by, rows`` and ``gap``. A round
+    offers each source its next ``FILL_ROWS`` copies that fit the gap by
+    themselves; a source is through when a round has offered all of these."""
+    behind = (q.where((F.col("size") > 0) & (F.col("target") > 0))
+              .select(F.struct("source").alias("by"), "chunk", "size", "done", "target", "source_size")
+              .withColumn("e", F.explode(F.sequence(F.lit(0), F.lit(max_repeat - 1))))
+              .withColumn("place", F.col("done") + F.col("e") * F.col("source_size"))
+              .where(F.col("place").cast("double") / F.col("target") > 1.0))
+    state = written(spent.select("by", "rows", F.floor("gap").alias("room"), F.lit(-1).cast("long").alias("seen"))
+                    .where(F.col("room") > 0))
+    took = []
+    while not state.isEmpty():
+        fits = (join_sized(behind, state, "by", "rows")
+                .where((F.col("size") <= F.col("room")) & (F.col("place") > F.col("seen"))))
+        ranges = fits.groupBy("by", "e", "chunk").agg(F.count(F.lit(1)).alias("n"), F.max("rows").alias("rows"))
+        order = Window.partitionBy("by").orderBy("e", "chunk")
+        ranges = written(ranges.withColumn("ahead", F.sum("n").over(order) - F.col("n")))
+        total = ranges.groupBy("by").agg(F.sum("n").alias("offered"))
+        near = (ranges.where(F.col("ahead") < FILL_ROWS)
+                .select(F.struct("by", "e", "chunk").alias("range"), "ahead", F.col("n").alias("in_range")))
+        place = Window.partitionBy("range").orderBy("place")
+        batch = (join_sized(fits.withColumn("range", F.struct("by", "e", "chunk")), written(near), "range", "in_range")
+                 .withColumn("nth", F.col("ahead") + F.row_number().over(place)).where(F.col("nth") <= FILL_ROWS))
+        batch = batch.groupBy("by").agg(
+            F.array_sort(F.collect_list(F.struct("place", "size", "done", "target"))).alias("offer"),
+            F.first("room").alias("room"), F.first("rows").alias("rows"))
+        one = "struct<place:bigint,size:bigint,done:bigint,target:double>"
+        start = F.struct(F.col("room").alias("room"), F.array().cast(f"array<{one}>").alias("took"))
+        fold = F.aggregate("offer", start, lambda a, x: F.when(
+            x["size"] <= a["room"], F.struct((a["room"] - x["size"]).alias("room"),
+                                             F.concat(a["took"], F.array(x)).alias("took"))).otherwise(a))
+        batch = written(batch.join(total, "by").select(
+            "by", "rows", "offered", F.size("offer").alias("seen_rows"), F.element_at("offer", -1)["place"].alias("seen"),
+            fold.alias("fold")))
+        took.append(batch.select("by", F.explode("fold.took").alias("x")))
+        state = written(batch.where((F.col("offered") > F.col("seen_rows")) & (F.col("fold.room") > 0))
+                        .select("by", "rows", F.col("fold.room").alias("room"), "seen"))
+    if not took:
+        return None
+    return (reduce(DataFrame.unionByName, took)
+            .groupBy(F.col("by.source").alias("f_source"), F.col("x.done").alias("f_done"))
+            .agg(F.collect_list(F.col("x.place") / F.col("x.target")).alias("more")))
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: float = 1.0, max_repeat: int = MAX_REPEAT,
-        seed: str = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+        seed: str = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+        refill: bool = True) -> DataFrame:
     """The plan of the mix, one row per document: ``doc_id, size, source,
     source_size, target, starts`` and ``taken``. ``starts`` holds the virtual
     finish time of each copy that the mix takes; ``taken`` the words taken."""
@@ -111,10 +166,19 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: float = 1.
                                      F.max("size").alias("largest"), F.first("target").alias("g_target"),
                                      F.count(F.lit(1)).alias("rows"))
              .select(F.struct("source").alias("by"), "spent", "largest", "rows", (F.col("g_target") - F.col("spent")).alias("gap")))
-    q = join_sized(q, written(spent), "by", "rows").drop("rows")
+    spent = written(spent)
+    out = ["doc_id", "mix_key", "tie", "size", "source", "source_size", "target", "starts",
+           (F.size("starts") * F.col("size")).cast("long").alias("taken")]
+    if refill:
+        fill = refilled(q, spent, max_repeat)
+        if fill is not None:  # places of rows with words are distinct within a source
+            q = q.join(fill, F.col("source").eqNullSafe(F.col("f_source")) & (F.col("done") == F.col("f_done"))
+                       & (F.col("size") > 0), "left")
+            q = q.withColumn("starts", F.concat("starts", F.coalesce("more", F.array().cast("array<double>"))))
+        return q.select(*out)
+    q = join_sized(q, spent, "by", "rows").drop("rows")
 
-    # the gap that the straddling document leaves: the next copies that fit, found among the few whose
-    # places lie within 8 times the largest document behind the cut
+    # the rule of the query's SQL: one running sum over the copies within 8 times the largest document behind the cut
     fill = (q.where((F.col("size") > 0) & (F.col("gap") >= F.col("size")))
             .withColumn("e", F.explode(F.sequence(F.lit(0), F.lit(max_repeat - 1))))
             .withColumn("place", F.col("done") + F.col("e") * F.col("source_size"))
@@ -131,8 +195,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: float = 1.
         on = on & c
     q = q.join(fill, on, "left")
     q = q.withColumn("starts", F.concat("starts", F.coalesce("more", F.array().cast("array<double>"))))
-    return q.select("doc_id", "mix_key", "tie", "size", "source", "source_size", "target", "starts",
-                    (F.size("starts") * F.col("size")).cast("long").alias("taken"))
+    return q.select(*out)
 
 
 def mixed_documents(docs: DataFrame, range_sort: bool = True, **kw) -> DataFrame:
@@ -162,7 +225,7 @@ def mixed_documents(docs: DataFrame, range_sort: bool = True, **kw) -> DataFrame
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(docs, refill=False).select("doc_id", "size", "source_size", "target", "taken")
 
 
 OP3_SQL = r"""

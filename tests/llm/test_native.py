@@ -1,6 +1,7 @@
 """Mixing, sharding, exact dedup and chat formatting on small inputs."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -79,6 +80,34 @@ def test_mixing_targets_and_taken(spark):
     assert docs.columns == df.columns and docs.count() == sum(r["taken"] // r["size"] for r in got if r["size"])
 
 
+@pytest.mark.parametrize("batch", [60, 1000])
+def test_mixing_fills_the_gap_behind_giants(spark, monkeypatch, batch):
+    monkeypatch.setattr(mixing, "FILL_ROWS", batch, raising=False)
+    monkeypatch.setattr(mixing, "CHUNK_ROWS", 40)
+    r = random.Random(70)
+    size = {s: [r.randint(50, 400) for _ in range(500)] + [r.randint(10_000, 40_000) for _ in range(6)]
+            for s in ("a", "b", None)}
+    rows = [(f"{s}{i}", "w " * n, s) for s, sizes in size.items() for i, n in enumerate(sizes)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id string, text string, source string")).collect()
+    for s, sizes in size.items():
+        mine = [g for g in got if g["source"] == s]
+        assert len(mine) == len(sizes) and all(len(set(g["starts"])) == len(g["starts"]) <= 3 for g in mine)
+        left = mine[0]["target"] - sum(g["taken"] for g in mine)
+        untaken = [g["size"] for g in mine if len(g["starts"]) < 3]
+        assert 0 <= left and (not untaken or left < min(untaken))
+        # the fill is the one that offers the copies in queue order
+        at, room, want = 0, None, []
+        queue = sorted(mine, key=lambda g: (g["mix_key"], g["tie"]))
+        for g in [*queue] * 3:
+            at += g["size"]
+            if at / g["target"] <= 1:
+                room = g["target"] - at
+            elif g["size"] <= room:
+                room -= g["size"]
+                want.append(at / g["target"])
+        assert sorted(v for g in mine for v in g["starts"] if v > 1) == pytest.approx(want)
+
+
 def test_mixing_edges(edge_docs):
     got = mixing.mix(edge_docs).collect()
     assert len(got) == 10 and all(r["taken"] <= 3 * r["size"] for r in got)

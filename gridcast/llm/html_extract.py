@@ -9,6 +9,10 @@ are in the tree, the dearer it is to part them, and an edge across a region
 that only one of them is in (menu, footer, advert, comments) is weak. The
 minimum cut, found by max-flow, separates content from boilerplate.
 
+A boilerplate word or a form condemns all it holds, unless it wraps the page:
+:func:`lift_wrappers` takes the mark off what holds the main text. Layout words
+(``has-sidebar``, ``header-fixed``) only make the blocks outside content dearer.
+
 Nodes whose terminal capacity is at least the sum of their edges keep their
 label in some minimum cut, so they are fixed first and only the doubtful rest
 is cut by augmenting paths; the flow graph stays small on long pages.
@@ -51,43 +55,67 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"tr", "td", "th", "thead"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"},
          "th": {"table", "tr"}, "option": {"select"}, "thead": {"table"}, "tbody": {"table"}}
-BOILER_TAGS = {"nav", "footer", "aside", "form", "button", "menu", "dialog", "fieldset", "head"}
+BOILER_TAGS = {"nav", "footer", "aside", "button", "menu", "dialog", "head"}
+WRAPPER_TAGS = {"form", "fieldset"}
 BOILER_WORDS = set("""ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar
     side aside menu nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar comment comments reply
     replies disqus respond cookie cookies consent gdpr notice notices notification alert newsletter subscribe
     subscription signup signin login register share sharing social related recommended recommendations widget popup
     modal overlay toolbar pagination pager tags tagcloud copyright legal disclaimer skip search outbrain taboola
     contentinfo complementary""".split())
+READER_WORDS = set("comment comments reply replies disqus respond cookie cookies consent gdpr".split())
+LAYOUT_BEFORE = {"has", "no", "with", "without"}
+LAYOUT_AFTER = {"fixed", "sticky", "page", "layout", "enabled", "disabled", "open", "closed"}
 CONTENT_TAGS = {"article", "main"}
 CONTENT_WORDS = set("article content main post entry story body text maintext prose".split())
 NEAR, FAR, ACROSS = 1.0, 0.4, 0.05
+VERDICT, LIFTABLE = 2, 1
 
 
 class Element:
-    __slots__ = ("tag", "up", "boiler", "content", "link", "region")
+    __slots__ = ("tag", "up", "depth", "own", "boiler", "weak", "reader", "content", "anchor", "link", "region")
 
     def __init__(self, tag: str, up: Element | None, attrs: str):
-        words, hidden = set(), False
+        words, hidden, weak, role = set(), False, False, ""
         if attrs:
             for name, value in ATTRIBUTE.findall(attrs):
                 name, value = name.lower(), value.strip("\"'")
                 if name in ("class", "id", "role"):
-                    words.update(re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value).lower()))
+                    for one in value.split():
+                        parts = re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", one).lower())
+                        for i, word in enumerate(parts):
+                            if word in BOILER_WORDS and ((i and parts[i - 1] in LAYOUT_BEFORE)
+                                                         or (i + 1 < len(parts) and parts[i + 1] in LAYOUT_AFTER)):
+                                weak = True
+                            else:
+                                words.add(word)
+                    role = value.lower() if name == "role" else role
                 elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
                     hidden = True
                 elif name == "style" and re.search(r"display\s*:\s*none", value, re.I):
                     hidden = True
         self.tag, self.up = tag, up
+        self.depth = up.depth + 1 if up is not None else 0
         inside = up is not None and up.content
         main = tag in CONTENT_TAGS or (tag not in ("body", "html") and bool(words & CONTENT_WORDS))
+        named = bool(words & BOILER_WORDS)
         # a header inside the article holds its heading; one outside belongs to the site
-        own = hidden or tag in BOILER_TAGS or (tag == "header" and not inside) or (
-            tag not in ("body", "html", "article", "main") and bool(words & BOILER_WORDS)
+        verdict = hidden or tag in BOILER_TAGS or (tag == "header" and not inside)
+        own = verdict or tag in WRAPPER_TAGS or (
+            tag not in ("body", "html", "article", "main") and named
             and not (inside and tag in ("header", "h1", "h2") and not words & {"ad", "ads", "comment", "comments"}))
-        self.boiler = own or (up is not None and up.boiler)
+        self.own = VERDICT if verdict else LIFTABLE if own else 0
+        self.reader = bool(words & READER_WORDS)
+        self.anchor = (tag in CONTENT_TAGS or role == "main") and not named
+        self.weak = (weak and tag not in ("body", "html")) or (up is not None and up.weak)
         self.content = inside or main
         self.link = tag == "a" or (up is not None and up.link)
-        self.region = self if own or tag in CONTENT_TAGS else (up.region if up is not None else None)
+        self.inherit()
+
+    def inherit(self) -> None:
+        up = self.up
+        self.boiler = self.own > 0 or (up is not None and up.boiler)
+        self.region = self if self.own or self.tag in CONTENT_TAGS else (up.region if up is not None else None)
 
 
 class Block:
@@ -179,12 +207,87 @@ def blocks_of(page: str) -> list[Block]:
     return kept
 
 
+def lift_wrappers(blocks: list[Block]) -> None:
+    """Take the mark off elements that wrap the page's main text. Elements with
+    a word or form mark (not hidden ones, menus, asides, footers) lose it if
+
+    * a main element is inside, or articles with more plain text than all
+      unmarked blocks of the page and than the rest of every marked element
+      around them, and no other kind of mark is above these, or
+    * they hold most of the page's plain text themselves, no unmarked article
+      has text, and the other unmarked content has less than a tenth of theirs;
+      what readers wrote and consent boxes never do.
+    """
+    seen: dict[int, Element] = {}
+    for b in blocks:
+        e = b.element
+        while e is not None and id(e) not in seen:
+            seen[id(e)] = e
+            e = e.up
+    order = sorted(seen.values(), key=lambda e: e.depth)
+    if not any(e.own == LIFTABLE for e in order):
+        return
+    plain = dict.fromkeys(seen, 0)
+    for b in blocks:
+        plain[id(b.element)] += max(0, b.size - b.linked)
+    total = sum(plain.values())
+    while True:
+        # text below an element that is under no further mark, and the marks above: how many, and whether all may go
+        clear, above = dict(plain), {}
+        for e in reversed(order):
+            if e.up is not None and not e.own:
+                clear[id(e.up)] += clear[id(e)]
+        for e in order:
+            n, may = above[id(e.up)] if e.up is not None else (0, True)
+            above[id(e)] = (n + (e.own > 0), may and e.own != VERDICT)
+        free = clear[id(order[0])]
+        anchors = [e for e in order if e.anchor and clear[id(e)]]
+        held = [e for e in anchors if above[id(e)][0] and above[id(e)][1]]
+        mains = [e for e in held if e.tag != "article"]
+        # articles by the mark they stand under, nested ones once: all together against what else each mark holds
+        under: dict[int, list[Element]] = {}
+        for e in held:
+            up, mark = e.up, None
+            while up is not None and not up.anchor and mark is None:
+                mark = up if up.own else None
+                up = up.up
+            if mark is not None:
+                under.setdefault(id(mark), []).append(e)
+        articles = []
+        for k, group in under.items():
+            n = sum(clear[id(e)] for e in group)
+            marks, e = [], seen[k]
+            while e is not None:
+                marks += [e] if e.own else []
+                e = e.up
+            if n > free and clear[k] <= 2 * n and all(clear[id(m)] <= n for m in marks[1:]):
+                articles.append((above[k][0], -n, group[0]))
+        if mains:
+            lift = mains
+        elif articles:
+            lift = [min(articles, key=lambda a: a[:2])[2]]
+        elif any(not above[id(e)][0] for e in anchors):
+            break
+        else:
+            kept = sum(b.size - b.linked for b in blocks if not b.element.boiler and content_score(b) > 0)
+            lift = [e for e in order if e.own == LIFTABLE and not e.reader and above[id(e)][1]
+                    and clear[id(e)] > total / 2 and kept < clear[id(e)] / 10]
+        if not lift:
+            break
+        for e in lift:
+            while e is not None and e.boiler:
+                e.own = 0
+                e = e.up
+        for e in order:
+            e.inherit()
+
+
 def content_score(b: Block) -> float:
     """Log odds that the block is content."""
     e, n = b.element, len(b.text)
     links = b.linked / max(1, b.size)
     s = -0.6
-    s += -8.0 if e.boiler else 0.0
+    s += -8.0 if e.boiler else -1.5 if e.weak and not e.content else 0.0
     s += 4.0 if e.content else 0.0
     s += 1.2 if e.tag in ("p", "blockquote", "pre") else 0.6 if e.tag in ("h1", "h2", "h3") else 0.0
     s += min(n, 240) / 120.0
@@ -263,6 +366,7 @@ def main_text(page: str | None) -> str:
     blocks = blocks_of(page) if page else []
     if not blocks:
         return ""
+    lift_wrappers(blocks)
     keep = min_cut([content_score(b) for b in blocks], edges_of(blocks))
     return "\n".join(b.text for b, k in zip(blocks, keep, strict=True) if k)
 

@@ -153,6 +153,34 @@ def test_raw_text_ends_at_its_own_end_tag(raw):
     assert html_extract.main_text(f"<article><p>One</p>{raw}<p>Two</p></article>" + raw) == "One\nTwo"
 
 
+STORY = "The council met on Monday evening and agreed to repair the old bridge before the winter storms arrive. " * 3
+
+
+@pytest.mark.parametrize("wrap", [
+    '<div class="layout has-sidebar">{}</div>', '<div class="no-sidebar">{}</div>', '<div class="header-fixed">{}</div>',
+    '<div class="search-page">{}</div>', "<form id=aspnetForm>{}</form>", '<div class="layout sidebar"><form>{}</form></div>',
+    '<div id="banner-wrap"><div class="search">{}</div></div>', '<div class="navOpen with-banner">{}</div>'])
+def test_a_wrapper_does_not_condemn_the_page(wrap):
+    nav, foot = "<nav><a href=x>Home</a> <a href=y>News</a></nav>", "<footer><p>All rights reserved by us.</p></footer>"
+    side = '<div class="sidebar"><p>Subscribe to our weekly letter.</p></div><div class="related"><article>More</article></div>'
+    for tag in ("article", "main", "div"):
+        page = wrap.format(f"{nav}<{tag}><h1>Bridge</h1><p>{STORY}</p><p>{STORY}</p></{tag}>{side}") + foot
+        assert html_extract.main_text(page).split("\n")[-2:] == [STORY.strip()] * 2
+        page = "<p>We use cookies on this site.</p>" + page
+        assert html_extract.main_text(page).split("\n")[-2:] == [STORY.strip()] * 2
+    assert html_extract.main_text(wrap.format("<article><p>Hello it's me</p></article>")) == "Hello it's me"
+
+
+def test_boilerplate_is_no_wrapper():
+    short, long = "<p>The bridge will be repaired before winter, the council said.</p>", f"<p>{STORY * 4}</p>"
+    text = re.sub("<.*?>", "", short)
+    for rest in (f'<div id="comments"><article class="comment-body">{long}</article></div>', f"<aside><article>{long}</article></aside>",
+                 f'<div class="sidebar">{long}</div>', f"<div hidden><article>{long}</article></div>", f"<form>{long}</form>",
+                 f"<footer><main>{long}</main></footer>", f'<div class="comments">{long}</div>'):
+        assert html_extract.main_text(f"<article>{short}</article>{rest}") == text
+    assert html_extract.main_text(f'{short}<div class="comments">{long}</div>') == text
+
+
 def test_math_and_object_text_is_kept():
     page = "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x</annotation></math>.</p><object data=a><p>Plain</p></object></article>"
     assert html_extract.main_text(page).split("\n") == ["Let x=1.", "Plain"]

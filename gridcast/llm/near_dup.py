@@ -50,6 +50,7 @@ RECALL = 0.999
 MAX_HASHES = 96
 TINY_BUCKET = 8
 BLOCK = 256
+BLOCK_GRAMS = 1 << 21  # shingles of a block, about: a task that gets two blocks holds 32 MB of hashes and a few copies of them
 COLUMNS = 8192
 CLIMBS = 2
 STEP_BYTES = 1 << 19
@@ -312,15 +313,16 @@ class NearDuplicates:
 
         # blocks of the members of large buckets, and which blocks meet
         large = m.where(F.col("members") > TINY_BUCKET)
-        home = large.groupBy("c").agg(F.max(F.struct("members", "bucket")).alias("home"))
+        home = large.groupBy("c").agg(F.max(F.struct("members", "bucket")).alias("home"), F.first("n").alias("n"))
         for _ in range(CLIMBS):  # towards the largest bucket nearby, so that a group's members share few homes
-            tops = large.join(home, "c").groupBy("bucket").agg(F.max("home").alias("home"), F.max("members").alias("w"))
-            home = (join_hot(large.select("bucket", "c"), tops, "bucket", "w", got["n"], most=got["most"])
-                    .groupBy("c").agg(F.max("home").alias("home")))
-        home, placed = written_with(home.select("c", F.col("home.bucket").alias("home")), n=F.count(F.lit(1)))
-        size, big = written_with(home.groupBy("home").agg(F.count(F.lit(1)).alias("w")), most=F.max("w"))
+            tops = large.join(home.drop("n"), "c").groupBy("bucket").agg(F.max("home").alias("home"), F.max("members").alias("w"))
+            home = (join_hot(large.select("bucket", "c", "n"), tops, "bucket", "w", got["n"], most=got["most"])
+                    .groupBy("c").agg(F.max("home").alias("home"), F.first("n").alias("n")))
+        home, placed = written_with(home.select("c", "n", F.col("home.bucket").alias("home")), n=F.count(F.lit(1)))
+        size, big = written_with(home.groupBy("home").agg(F.count(F.lit(1)).alias("w"), F.sum("n").alias("grams")), most=F.max("w"))
+        blocks = F.ceil(F.greatest(F.col("w") / F.lit(BLOCK), F.col("grams") / F.lit(BLOCK_GRAMS))).cast("long")
         place = written(join_hot(home, size, "home", "w", placed["n"], most=big["most"]).select("c", F.struct("home", F.pmod(
-            F.xxhash64("c"), F.ceil(F.col("w") / F.lit(BLOCK)).cast("long")).alias("k")).alias("block")))
+            F.xxhash64("c"), blocks).alias("k")).alias("block")))
         held_by = large.select("bucket", "c").join(place, "c").select("bucket", "block").distinct()
         meet = written(held_by.join(held_by.withColumnRenamed("block", "block2"), "bucket")
                        .where(F.col("block") <= F.col("block2")).select("block", "block2").distinct())

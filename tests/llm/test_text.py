@@ -262,6 +262,35 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, tiny, block):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(least.values())
 
 
+def test_blocks_are_bounded_by_shingles(spark, monkeypatch):
+    """No group of two blocks holds much more than the bound, and nothing is lost."""
+    bound, links_of = 4_000, near_dup._block_links
+    monkeypatch.setattr(near_dup, "BLOCK_GRAMS", bound, raising=False)
+
+    def watched(threshold):
+        run = links_of(threshold)
+
+        def checked(rows):
+            held = sum(len(g) for g in rows["grams"])
+            if held > 4 * bound:
+                raise ValueError(f"a group holds {held} shingles")
+            return run(rows)
+        return checked
+
+    monkeypatch.setattr(near_dup, "_block_links", watched)
+    rng = random.Random(4)
+    base = [f"v{rng.randrange(5000)}" for _ in range(400)]
+    rows = []
+    for i in range(120):
+        w = list(base)
+        w[rng.randrange(400)] = f"x{i}"
+        rows.append((i, " ".join(w)))
+    links = defaultdict(set)
+    brute_classes(rows, links)
+    got = {r["doc_id"]: r for r in near_dup.ngram_jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i]["n_links"] == len(links[frozenset(gram_set(t))]) and got[i]["class_id"] == 0 for i, t in rows)
+
+
 def test_band_shape_reaches_the_recall():
     bands, rows = near_dup.band_shape()
     assert bands * rows <= near_dup.MAX_HASHES and 1 - (1 - 0.8 ** rows) ** bands >= near_dup.RECALL

@@ -291,6 +291,38 @@ def test_blocks_are_bounded_by_shingles(spark, monkeypatch):
     assert all(got[i]["n_links"] == len(links[frozenset(gram_set(t))]) and got[i]["class_id"] == 0 for i, t in rows)
 
 
+def test_near_duplicate_query_against_brute_force(spark):
+    """The registered query with its own bands: classes and link counts."""
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    links = defaultdict(set)
+    root = brute_classes(rows, links)
+    least = defaultdict(lambda: 1 << 60)
+    for (i, _), r in zip(rows, root, strict=True):
+        least[r] = min(least[r], i)
+    got = {r["doc_id"]: r for r in near_dup.op2_ngram_jaccard_join(spark, SF).collect()}
+    assert len(got) == len(rows)
+    for (i, t), r in zip(rows, root, strict=True):
+        assert (got[i]["class_id"], got[i]["class_size"]) == (least[r], root.count(r)), i
+        assert got[i]["n_links"] == len(links[frozenset(gram_set(t))]), i
+
+
+def test_links_near_the_threshold_are_found(spark):
+    """Pairs of similarity 0.80 to 0.82 under the query's own bands."""
+    rng, rows = random.Random(11), []
+    while len(rows) < 2000:
+        w = [f"v{rng.randrange(10 ** 6)}" for _ in range(95)]
+        other = list(w)
+        for at in (10, 50):
+            other[at] = f"y{rng.randrange(10 ** 6)}"
+        a, b = gram_set(" ".join(w)), gram_set(" ".join(other))
+        if 0.8 <= len(a & b) / len(a | b) <= 0.82:
+            rows += [(len(rows), " ".join(w)), (len(rows) + 1, " ".join(other))]
+    got = near_dup.ngram_jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    share = sum(r["n_links"] for r in got) / len(rows)
+    print("share of links found:", share)
+    assert all(r["n_links"] <= 1 for r in got) and share >= 0.995
+
+
 def test_band_shape_reaches_the_recall():
     bands, rows = near_dup.band_shape()
     assert bands * rows <= near_dup.MAX_HASHES and 1 - (1 - 0.8 ** rows) ** bands >= near_dup.RECALL

@@ -52,6 +52,11 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def finite_vector(vector: Column) -> Column:
+    """True for an array that is not null and holds no null, NaN or infinity."""
+    return vector.isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+
+
 def join_hot(left: DataFrame, right: DataFrame, on: str, weight: str, rows: int, how: str = "inner",
              most: int | None = None) -> DataFrame:
     """``left`` joined with ``right``, which has one row per key and says in

@@ -26,29 +26,29 @@ def prediction_frame(df: DataFrame, pred: str, roles: Roles = DEFAULT_ROLES,
                      F.col(pred).cast("double").alias("y_pred"))
 
 
-def _errors(prefix: str = "") -> list[Column]:
+def errors(prefix: str = "") -> list[Column]:
     e = F.col("y_pred") - F.col("y_true")
     return [F.avg(F.abs(e)).alias(f"{prefix}mae"),
             F.sqrt(F.avg(e * e)).alias(f"{prefix}rmse"),
             F.avg("y_true").alias(f"_{prefix}mean")]
 
 
-def _nrmse(prefix: str = "") -> Column:
+def nrmse(prefix: str = "") -> Column:
     m = F.col(f"_{prefix}mean")
     return F.when(m != 0, F.col(f"{prefix}rmse") / m).otherwise(F.lit(0.0))
 
 
 def group_metrics(pred: DataFrame) -> DataFrame:
     """Per-group MAE/RMSE/nRMSE ordered by MAE (ties by group)."""
-    return (pred.groupBy("group").agg(*_errors())
-            .withColumn("nrmse", _nrmse()).drop("_mean")
+    return (pred.groupBy("group").agg(*errors())
+            .withColumn("nrmse", nrmse()).drop("_mean")
             .orderBy("mae", "group"))
 
 
 def global_metrics(pred: DataFrame) -> DataFrame:
     """One row: ``eval_mae, eval_rmse, eval_nrmse, n_rows``."""
-    return (pred.agg(*_errors("eval_"), F.count(F.lit(1)).alias("n_rows"))
-            .withColumn("eval_nrmse", _nrmse("eval_")).drop("_eval_mean"))
+    return (pred.agg(*errors("eval_"), F.count(F.lit(1)).alias("n_rows"))
+            .withColumn("eval_nrmse", nrmse("eval_")).drop("_eval_mean"))
 
 
 def portfolio_metrics(pred: DataFrame) -> DataFrame:
@@ -57,7 +57,7 @@ def portfolio_metrics(pred: DataFrame) -> DataFrame:
     a constant key (1 x 1 rows)."""
     summed = (pred.groupBy("timestamp")
               .agg(F.sum("y_true").alias("y_true"), F.sum("y_pred").alias("y_pred")))
-    total = (summed.agg(*_errors("portfolio_"))
+    total = (summed.agg(*errors("portfolio_"))
              .select(F.col("portfolio_mae").alias("portfolio_mae_total"),
                      F.col("portfolio_rmse").alias("portfolio_rmse_total"),
                      F.when(F.col("_portfolio_mean") != 0,

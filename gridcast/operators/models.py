@@ -125,7 +125,7 @@ def build_regressor(model_type: str, params: dict[str, Any], label: str = "label
             featureSubsetStrategy=_subset(params.get("colsample_bytree", 1.0)),
             minInstancesPerNode=int(params.get("min_child_samples", 1)), seed=seed, **common)
     if model_type in ("linear",) + SEQUENCE_MODELS:
-        return LinearRegression(regParam=float(params.get("weight_decay", 0.0)), **common)
+        return LinearRegression(regParam=float(params.get("weight_decay", 0.0)), standardization=False, **common)
     raise ValueError(f"unknown model {model_type!r}")
 
 

@@ -109,9 +109,3 @@ def features_for_model(df: DataFrame, roles: Roles = DEFAULT_ROLES, cfg: Feature
     if clip:
         out = clip_rules(out, rules)
     return model_matrix(out, drop_columns(drop_prod, cfg.delay_days))
-
-
-def feature_columns(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> list[str]:
-    """Every column except time, target and group."""
-    skip = {roles.time, roles.target, roles.group}
-    return [c for c in df.columns if c not in skip]

@@ -776,10 +776,12 @@ def q_param_search(spark, d):
 
 @query("experiment_results")
 def q_experiment_results(spark, d):
-    """Sequence sweep over all sites, models, lengths and drop options;
-    failed runs are rows with an error text."""
-    from gridcast.plans.run import SweepConfig, experiment_grid, run_sweep
+    """Sequence sweep over all sites, models, lengths and drop options, each
+    fitted by itself; failed runs are rows with an error text."""
+    from gridcast.plans.run import experiment_grid
+    from gridcast.plans.sweep import SweepConfig, run_sweep
 
     frame = clean.clip_rules(process(_joined(spark, d), R, POWER_CFG))
     grid = experiment_grid(frame, SWEEP_MODELS, SWEEP_LENGTHS, SWEEP_DROP)
-    return run_sweep(spark, frame, grid, SweepConfig(test_size=0.2))
+    production = (*lags.lag_names(POWER_LAGS), *lags.rolling_names(POWER_ROLLING))
+    return run_sweep(spark, frame, grid, SweepConfig(test_size=0.2, production_columns=production))

@@ -1,16 +1,15 @@
-"""Train-and-evaluate runs (E1) and the experiment sweep."""
+"""Train-and-evaluate runs (E1) and the experiment grid (J8); the sweep over
+it is in :mod:`gridcast.plans.sweep`."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 from typing import Any
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridcast.functions.names import run_name
 from gridcast.operators import clean, metrics
@@ -19,7 +18,7 @@ from gridcast.operators.models import (MAIN_PARAMS, SEQUENCE_MODELS, ForecastMod
                                        save_json, session)
 from gridcast.operators.panel import group_at
 from gridcast.operators.scale import MinMaxScaling, StandardScaling, fit_minmax, fit_standard
-from gridcast.operators.sequences import sequence_windows
+from gridcast.operators.sequences import RIDGE, sequence_windows, window_inputs
 from gridcast.operators.split import holdout_split, sequence_holdout, split_time
 from gridcast.plans.tuning import cross_validate, feature_columns, load_or_train
 from gridcast.roles import DEFAULT_ROLES, Roles
@@ -31,10 +30,10 @@ def _require_rows(*frames: DataFrame) -> None:
         raise ValueError("the split leaves one side without rows")
 
 
-def _windows(df: DataFrame, feats: Sequence[str], seq_len: int, roles: Roles) -> DataFrame:
-    """Key, target and the flattened window as one vector."""
+def _windows(df: DataFrame, feats: Sequence[str], seq_len: int, model_type: str, roles: Roles) -> DataFrame:
+    """Key, target and the model's inputs of the window as one vector."""
     w = sequence_windows(df, feats, seq_len, roles)
-    return w.select(roles.group, roles.time, roles.target, array_to_vector(F.flatten("seq")).alias("seq_vec"))
+    return w.select(roles.group, roles.time, roles.target, array_to_vector(window_inputs(model_type, seq_len)).alias("seq_vec"))
 
 
 @dataclass
@@ -46,16 +45,18 @@ class SequenceModel:
     seq_len: int
     x_scale: StandardScaling
     y_scale: MinMaxScaling
+    model_type: str = "lstm"
 
     def predict(self, df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
         scaled = self.y_scale.transform(self.x_scale.transform(df))
-        out = predict(self.model, _windows(scaled, self.features, self.seq_len, roles))
+        out = predict(self.model, _windows(scaled, self.features, self.seq_len, self.model_type, roles))
         return self.y_scale.inverse(out, {"prediction": roles.target, roles.target: roles.target})
 
     def save(self, path: str) -> None:
         self.model.save(path)
         save_json(session(),
-                  {"features": self.features, "seq_len": self.seq_len, "x": asdict(self.x_scale), "y": asdict(self.y_scale)},
+                  {"features": self.features, "seq_len": self.seq_len, "model_type": self.model_type, "x": asdict(self.x_scale),
+                   "y": asdict(self.y_scale)},
                   path.rstrip("/") + "/scalers")
 
     @staticmethod
@@ -63,7 +64,7 @@ class SequenceModel:
         d = load_json(session(), path.rstrip("/") + "/scalers")
         fields = lambda x: {k: tuple(v) for k, v in x.items()}
         return SequenceModel(ForecastModel.load(path), d["features"], d["seq_len"], StandardScaling(**fields(d["x"])),
-                             MinMaxScaling(**fields(d["y"])))
+                             MinMaxScaling(**fields(d["y"])), d["model_type"])
 
 
 def train_sequence(train: DataFrame, features: Sequence[str], seq_len: int, model_type: str = "lstm",
@@ -71,22 +72,27 @@ def train_sequence(train: DataFrame, features: Sequence[str], seq_len: int, mode
                    val_fraction: float = 0.2) -> tuple[SequenceModel, dict[str, float]]:
     """Sequence model re-aimed on Spark (M4): features are standard-scaled
     and the target min-max scaled on the training rows (A12/A13), windows
-    of ``seq_len`` rows are flattened and fed to a regressor; the last
+    of ``seq_len`` rows become the inputs of ``model_type`` (:func:`window_inputs`) and are fed
+    to a ridge regression (penalty ``weight_decay``, at least ``RIDGE``) or another regressor; the last
     sequences form the validation tail (X4), whose MAE is returned too."""
     feats, y = list(features), roles.target
+    if train.isEmpty():
+        raise ValueError("no group has more rows than the sequence length")
     sx, sy = fit_standard(train, feats), fit_minmax(train, [y])
-    tr = _windows(sy.transform(sx.transform(train)), feats, seq_len, roles)
+    tr = _windows(sy.transform(sx.transform(train)), feats, seq_len, model_type, roles)
     if tr.isEmpty():
         raise ValueError("no group has more rows than the sequence length")
     tr = materialize(sequence_holdout(tr, roles, val_fraction=val_fraction, no_cv=no_cv))
-    fitted = fit_model(tr.where(~F.col("is_val")), ["seq_vec"], y, "linear" if model_type in SEQUENCE_MODELS else model_type,
-                       params or {})
+    params = dict(params or {})
+    if model_type in SEQUENCE_MODELS:
+        params["weight_decay"] = max(RIDGE, float(params.get("weight_decay", 0.0)))
+    fitted = fit_model(tr.where(~F.col("is_val")), ["seq_vec"], y, "linear" if model_type in SEQUENCE_MODELS else model_type, params)
     info = {"cv_mae": float("nan"), "cv_mae_std": float("nan")}
     val = tr.where(F.col("is_val"))
     if not val.isEmpty():
         vp = sy.inverse(predict(fitted, val), {"prediction": y, y: y})
         info = {"cv_mae": float(vp.agg(F.avg(F.abs(F.col("prediction") - F.col(y)))).first()[0]), "cv_mae_std": 0.0}
-    return SequenceModel(fitted, feats, seq_len, sx, sy), info
+    return SequenceModel(fitted, feats, seq_len, sx, sy, model_type), info
 
 
 def sequence_predictions(train: DataFrame, test: DataFrame, features: Sequence[str], seq_len: int,
@@ -155,8 +161,6 @@ def run_pipeline(frame: DataFrame, *, model_type: str = "random_forest", test_si
 
 # ------------------------------------------------------------------ sweep
 
-SWEEP_MODELS = ("lstm", "transformer")
-
 
 def experiment_grid(frame: DataFrame, models: Sequence[str], seq_lengths: Sequence[int],
                     drop_options: Sequence[bool], site_start: int = 0, site_end: int | None = None,
@@ -177,61 +181,3 @@ def experiment_grid(frame: DataFrame, models: Sequence[str], seq_lengths: Sequen
          .withColumn("seq_len", F.explode(F.array(*[F.lit(int(n)) for n in seq_lengths])))
          .withColumn("drop_prod", F.explode(F.array(*[F.lit(bool(b)) for b in drop_options]))))
     return g.withColumn("name", run_name(F.col("model"), F.col("seq_len"), F.col("drop_prod")))
-
-
-RESULT_SCHEMA = T.StructType([
-    T.StructField("site_index", T.IntegerType()), T.StructField("name", T.StringType()),
-    T.StructField("model", T.StringType()), T.StructField("seq_len", T.IntegerType()),
-    T.StructField("drop_prod", T.BooleanType()), T.StructField("mae", T.DoubleType()),
-    T.StructField("rmse", T.DoubleType()), T.StructField("nrmse_pct", T.DoubleType()),
-    T.StructField("portfolio_mae_total", T.DoubleType()), T.StructField("portfolio_rmse_total", T.DoubleType()),
-    T.StructField("portfolio_nrmse_total", T.DoubleType()),
-    T.StructField("portfolio_mae_per_site", T.DoubleType()),
-    T.StructField("portfolio_rmse_per_site", T.DoubleType()), T.StructField("error", T.StringType()),
-])
-
-
-@dataclass
-class SweepConfig:
-    test_size: float = 0.2
-    no_cv: bool = False
-    output_dir: str | None = None
-    parallel: int = 4
-
-
-def run_experiment(frame: DataFrame, exp: dict[str, Any], cfg: SweepConfig,
-                   roles: Roles = DEFAULT_ROLES) -> tuple:
-    """Metrics and error text of one sweep run; any failure becomes NULL
-    metrics and the whole error text (failure isolation, M10)."""
-    path = f"{cfg.output_dir.rstrip('/')}/models/site_{exp['site_index']}/{exp['name']}" if cfg.output_dir else None
-    try:
-        m = run_pipeline(frame, model_type=exp["model"], seq_len=exp["seq_len"], drop_prod=exp["drop_prod"],
-                         no_cv=cfg.no_cv, test_size=cfg.test_size, one_site_only=True,
-                         idx_site=exp["site_index"], savepath=path, roles=roles)
-        return (m["eval_mae"], m["eval_rmse"], (m["eval_nrmse"] or 0.0) * 100,
-                m["portfolio_mae_total"], m["portfolio_rmse_total"], m["portfolio_nrmse_total"],
-                m["portfolio_mae_per_site"], m["portfolio_rmse_per_site"], "")
-    except Exception as exc:  # noqa: BLE001 - a failed run is a result row
-        return (None,) * 8 + (str(exc),)
-
-
-def run_sweep(spark: SparkSession, frame: DataFrame, grid: DataFrame, cfg: SweepConfig,
-              roles: Roles = DEFAULT_ROLES) -> DataFrame:
-    """Run every grid row against one written feature frame. The grid is a list
-    of jobs (sites x models x lengths x options), run a few at a time; the two
-    sequence model names share one regressor, so each site, length and option is
-    fitted once. Results are one small DataFrame, written as CSV per site and
-    combined when ``output_dir`` is set (S5)."""
-    frame = materialize(frame)
-    runs = [r.asDict() for r in grid.orderBy("site_index", "model", "seq_len", "drop_prod").toLocalIterator()]
-    same = lambda r: (r["site_index"], r["model"] in SEQUENCE_MODELS or r["model"], r["seq_len"], r["drop_prod"])
-    todo = {same(r): r for r in reversed(runs)}
-    with ThreadPoolExecutor(cfg.parallel) as pool:
-        done = dict(zip(todo, pool.map(lambda r: run_experiment(frame, r, cfg, roles), todo.values()), strict=True))
-    rows = [(r["site_index"], r["name"], r["model"], r["seq_len"], r["drop_prod"], *done[same(r)]) for r in runs]
-    out = spark.createDataFrame(rows, RESULT_SCHEMA)
-    if cfg.output_dir:
-        base = cfg.output_dir.rstrip("/") + "/sequence_optimization"
-        out.write.mode("overwrite").option("header", True).partitionBy("site_index").csv(f"{base}/by_site")
-        out.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{base}/all_sites")
-    return out

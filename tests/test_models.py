@@ -75,23 +75,6 @@ def test_scalers(frame):
     assert np.allclose([r[0] for r in back], [r[0] for r in const.select("x2").collect()])
 
 
-def test_sequence_run_and_sweep_isolation(spark, frame, tmp_path):
-    res = run.run_pipeline(frame, model_type="lstm", seq_len=4, test_size=0.25)
-    assert res["eval_mae"] >= 0
-    grid = run.experiment_grid(frame, ("lstm",), (4, 500), (False,))
-    out_dir = str(tmp_path / "sweep")
-    out = run.run_sweep(spark, frame, grid, run.SweepConfig(test_size=0.25, output_dir=out_dir)).orderBy(
-        "site_index", "seq_len")
-    rows = out.collect()
-    written = spark.read.option("header", True).csv(f"{out_dir}/sequence_optimization/all_sites")
-    assert written.count() == 4
-    per_site = spark.read.option("header", True).csv(f"{out_dir}/sequence_optimization/by_site")
-    assert {r[0] for r in per_site.select("site_index").distinct().collect()} == {0, 1}
-    assert len(rows) == 4
-    assert all(r["error"] == "" for r in rows if r["seq_len"] == 4)
-    assert all(r["error"] and r["mae"] is None for r in rows if r["seq_len"] == 500)
-
-
 def test_run_tabular_modes(spark, frame, tmp_path):
     cfg = tuning.TabularConfig(model="random_forest", mode="train", n_splits=3, output_dir=str(tmp_path),
                                overrides={"n_estimators": 5, "max_depth": 3})

@@ -24,6 +24,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,19 +47,56 @@ def distance(a: Column, b: Column, p: int = 2) -> Column:
     raise ValueError("p must be 1 or 2")
 
 
+def weighted_mean(n: Column, y: Column, zeros: Column, zero_y: Column, inverse: Column, inverse_y: Column, weights: str) -> Column:
+    """Prediction from sums over the neighbours: their number and targets, those at
+    distance 0, and 1/d and y/d of the others."""
+    if weights == "uniform":
+        return y / n
+    if weights == "distance":
+        return F.when(zeros > 0, F.try_divide(zero_y, zeros)).otherwise(F.try_divide(inverse_y, inverse))
+    raise ValueError(f"unknown weights {weights!r}")
+
+
+def neighbour_sums(agg) -> dict[str, Column]:
+    """The sums of :func:`weighted_mean`; ``agg`` makes an aggregate of a column."""
+    zero = F.col("_d") == 0
+    return {"n": agg(F.lit(1)), "y": agg(F.col("_y")), "zeros": agg(F.when(zero, 1).otherwise(0)),
+            "zero_y": agg(F.when(zero, F.col("_y")).otherwise(0.0)),
+            "inverse": agg(F.when(zero, 0.0).otherwise(F.try_divide(F.lit(1.0), F.col("_d")))),
+            "inverse_y": agg(F.when(zero, 0.0).otherwise(F.try_divide(F.col("_y"), F.col("_d"))))}
+
+
 def knn_regress(train: DataFrame, query: DataFrame, *, features: str | Sequence[str], target: str,
                 train_id: str, query_id: str, k: int = 25, p: int = 2, weights: str = "distance",
-                exclude_self: bool = False, n_pivots: int = 16, seed: int = 42,
-                keep: Sequence[str] = (), block_rows: int = 4096) -> DataFrame:
+                exclude_self: bool = False, keep: Sequence[str] = (), **how) -> DataFrame:
     """Predict ``target`` for every query row from its ``k`` nearest training
-    rows. Returns ``(query_id, *keep, prediction, n_neighbors)``.
+    rows. Returns ``(query_id, *keep, prediction, n_neighbors)``; ``how`` goes to
+    :func:`knn_neighbors`."""
+    top = knn_neighbors(train, query, features=features, target=target, train_id=train_id, query_id=query_id, k=k, p=p,
+                        exclude_self=exclude_self, **how)
+    pred = weighted_mean(weights=weights, **neighbour_sums(F.sum))
+    out = top.groupBy("_qid").agg(pred.alias("prediction"), F.count(F.lit(1)).alias("n_neighbors"))
+    if keep:
+        out = query.select(F.col(query_id).alias("_qid"), *keep).join(out, "_qid", "left")
+    return out.withColumnRenamed("_qid", query_id)
+
+
+def knn_neighbors(train: DataFrame, query: DataFrame, *, features: str | Sequence[str], target: str, train_id: str, query_id: str,
+                  k: int = 25, p: int = 2, exclude_self: bool = False, n_pivots: int = 16, seed: int = 42, block_rows: int = 4096,
+                  segment: str | None = None) -> DataFrame:
+    """The ``k`` nearest training rows of every query row: ``_qid, _tid, _d, _y``
+    and the rank ``_rn`` from 1, ties by id.
 
     ``exclude_self`` skips the training row whose id equals the query id
-    (leave-one-out when both sides are the same table).
+    (leave-one-out when both sides are the same table). ``segment`` names an integer
+    column of both sides (few values, from -1 on); a query then only sees training rows of
+    smaller segments, so the expanding folds of one table are one join.
     """
     need = k + (1 if exclude_self else 0)
+    seg = F.col(segment).cast("int") if segment else F.lit(-1)
+    lim = F.col(segment).cast("int") if segment else F.lit(0)
     t = train.select(F.col(train_id).alias("_tid"), _vec(train, features).alias("_v"),
-                     F.col(target).cast("double").alias("_y"))
+                     F.col(target).cast("double").alias("_y"), seg.alias("_seg"))
     pivots = [r["_v"] for r in t.orderBy(F.xxhash64("_tid", F.lit(seed)), "_tid").limit(n_pivots).collect()]
     if not pivots:
         raise ValueError("knn_regress needs training rows")
@@ -71,13 +110,18 @@ def knn_regress(train: DataFrame, query: DataFrame, *, features: str | Sequence[
          .withColumn("_r", F.array_min("_pd"))
          .withColumn("_cell", (F.array_position("_pd", F.col("_r")) - 1).cast("int"))
          .drop("_pd"))
-    stats = {r["_cell"]: (r["n"], r["rad"]) for r in
-             t.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"), F.max("_r").alias("rad")).collect()}
-    cnt = F.array(*[F.lit(int(stats.get(j, (0, 0.0))[0])) for j in range(P)])
-    rad = F.array(*[F.lit(float(stats.get(j, (0, 0.0))[1] or 0.0)) for j in range(P)])
-
-    keep = list(keep)
-    q = query.select(F.col(query_id).alias("_qid"), *keep, _vec(query, features).alias("_qv"))
+    found = t.groupBy("_cell", "_seg").agg(F.count(F.lit(1)).alias("n"), F.max("_r").alias("rad")).collect()  # cells x segments
+    last = max(0, *(r["_seg"] + 1 for r in found))
+    # per limit and cell: the number and the radius of the rows that a query with this limit sees
+    seen = [[[r for r in found if r["_cell"] == j and r["_seg"] < f] for j in range(P)] for f in range(last + 1)]
+    by_limit = lambda pick: F.element_at(F.array(*[F.array(*[F.lit(pick(c)) for c in cells]) for cells in seen]),
+                                         F.least(F.col("_lim"), F.lit(last)) + 1)
+    rows = [sum(r["n"] for r in found if r["_cell"] == j) for j in range(P)]
+
+    q = query.select(F.col(query_id).alias("_qid"), _vec(query, features).alias("_qv"), lim.alias("_lim"))
+    q = q.withColumns({"_cnt": by_limit(lambda c: int(sum(r["n"] for r in c))),
+                       "_rad": by_limit(lambda c: float(max((r["rad"] for r in c), default=0.0)))})
+    cnt, rad = F.col("_cnt"), F.col("_rad")
     q = q.withColumn("_qd", pivot_dists(F.col("_qv")))
     order = F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(P - 1)),
                                      lambda j: F.struct(F.element_at("_qd", j + 1).alias("d"), j.alias("c"))))
@@ -87,15 +131,15 @@ def knn_regress(train: DataFrame, query: DataFrame, *, features: str | Sequence[
         F.greatest(acc["b"], x["d"] + F.element_at(rad, x["c"] + 1)).alias("b"))))
     # small slack so rounding in the bound arithmetic never drops a true neighbour
     q = q.withColumn("_B", walk["b"] * F.lit(1 + 1e-9) + F.lit(1e-12))
-    cand = F.filter(F.sequence(F.lit(0), F.lit(P - 1)),
-                    lambda j: F.element_at("_qd", j + 1) - F.element_at(rad, j + 1) <= F.col("_B"))
+    cand = F.filter(F.sequence(F.lit(0), F.lit(P - 1)), lambda j: (F.element_at(cnt, j + 1) > 0) & (
+        F.element_at("_qd", j + 1) - F.element_at(rad, j + 1) <= F.col("_B")))
     # Large cells are split into sub-blocks of at most ``block_rows`` training
     # rows and query batches of at most ``block_rows`` queries, so no group of
     # the co-grouping grows with the data (a hot cell never lands in one task).
-    nblk = [max(1, -(-int(stats.get(j, (0, 0.0))[0]) // block_rows)) for j in range(P)]
+    nblk = [max(1, -(-n // block_rows)) for n in rows]
     nblk_arr = F.array(*[F.lit(b) for b in nblk])
     tb = t.withColumn("_blk", F.pmod(F.xxhash64("_tid"), F.element_at(nblk_arr, F.col("_cell") + 1)).cast("int"))
-    qc = q.withColumn("_cell", F.explode(cand)).drop("_qd")
+    qc = q.withColumn("_cell", F.explode(cand)).drop("_qd", "_cnt", "_rad")
     # the queries visiting one cell are split the same way (P counts)
     visits = {r["_cell"]: r["n"] for r in qc.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect()}
     nq = [max(1, -(-int(visits.get(j, 0)) // block_rows)) for j in range(P)]
@@ -104,24 +148,11 @@ def knn_regress(train: DataFrame, query: DataFrame, *, features: str | Sequence[
           .withColumn("_blk", F.explode(F.sequence(F.lit(0), F.element_at(nblk_arr, F.col("_cell") + 1) - 1))))
     tb = tb.withColumn("_qb", F.explode(F.sequence(F.lit(0), F.element_at(nq_arr, F.col("_cell") + 1) - 1)))
     keys = ["_cell", "_blk", "_qb"]
-    pairs = (qc.select(*keys, "_qid", "_qv", "_B").groupBy(*keys)
-             .cogroup(tb.select(*keys, "_tid", "_v", "_y").groupBy(*keys))
+    pairs = (qc.select(*keys, "_qid", "_qv", "_B", "_lim").groupBy(*keys)
+             .cogroup(tb.select(*keys, "_tid", "_v", "_y", "_seg").groupBy(*keys))
              .applyInPandas(_block_topk(k, p, exclude_self), "_qid long, _tid long, _d double, _y double"))
-    keep_cols = q.select("_qid", *keep) if keep else None
     w = Window.partitionBy("_qid").orderBy("_d", "_tid")
-    top = pairs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
-    if weights == "uniform":
-        pred = F.avg("_y")
-    elif weights == "distance":
-        zero = F.min("_d") == 0
-        pred = F.when(zero, F.avg(F.when(F.col("_d") == 0, F.col("_y")))).otherwise(
-            F.sum(F.try_divide(F.col("_y"), F.col("_d"))) / F.sum(F.try_divide(F.lit(1.0), F.col("_d"))))
-    else:
-        raise ValueError(f"unknown weights {weights!r}")
-    out = top.groupBy("_qid").agg(pred.alias("prediction"), F.count(F.lit(1)).alias("n_neighbors"))
-    if keep_cols is not None:
-        out = keep_cols.join(out, "_qid", "left")
-    return out.withColumnRenamed("_qid", query_id)
+    return pairs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
 
 
 def _block_topk(k: int, p: int, exclude_self: bool, batch: int = 16):
@@ -129,10 +160,7 @@ def _block_topk(k: int, p: int, exclude_self: bool, batch: int = 16):
     block's training rows with NumPy, keeping each query's first ``k`` rows
     in ``(distance, id)`` order, the order of the final ranking in Spark; a
     block returns at most ``k`` rows per query however many are tied."""
-    import numpy as np
-    import pandas as pd
-
-    def fn(qp: "pd.DataFrame", tp: "pd.DataFrame") -> "pd.DataFrame":
+    def fn(qp: pd.DataFrame, tp: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"_qid": pd.Series([], dtype="int64"), "_tid": pd.Series([], dtype="int64"),
                               "_d": pd.Series([], dtype="float64"), "_y": pd.Series([], dtype="float64")})
         if qp.empty or tp.empty:
@@ -144,11 +172,13 @@ def _block_topk(k: int, p: int, exclude_self: bool, batch: int = 16):
         Q = np.stack(qp["_qv"].to_numpy()).astype(np.float64)
         qid = qp["_qid"].to_numpy(np.int64)
         bound = qp["_B"].to_numpy(np.float64)
+        hidden = tp["_seg"].to_numpy()[None, :] >= qp["_lim"].to_numpy()[:, None]
         kk = min(k + (1 if exclude_self else 0), len(tid))
         out = []
         for s in range(0, len(qid), batch):
             diff = Q[s:s + batch, None, :] - T[None, :, :]
             D = np.abs(diff).sum(-1) if p == 1 else np.sqrt((diff * diff).sum(-1))
+            D[hidden[s:s + batch]] = np.inf
             if exclude_self:
                 D[qid[s:s + batch, None] == tid[None, :]] = np.inf
             kth = np.partition(D, kk - 1, axis=1)[:, kk - 1:kk]

@@ -61,6 +61,12 @@ class Moments:
             coef = np.linalg.lstsq(a / np.outer(size, size), b / size, rcond=1e-12)[0] / size
         return coef, float(self.mean[-1] - self.mean[:-1] @ coef)
 
+    def fit(self, weight_decay: float = 0.0) -> tuple[np.ndarray, float]:
+        """:meth:`ridge` with the penalty of Spark's linear regression, which is
+        relative to the spread of the target."""
+        spread = np.sqrt(self.dev[-1, -1] / self.n)
+        return self.ridge(weight_decay / spread) if spread > 0 else (np.zeros(len(self.mean) - 1), float(self.mean[-1]))
+
 
 def total(parts: Iterable[Moments]) -> Moments | None:
     out = None
@@ -99,8 +105,8 @@ def merge_parts(parts: DataFrame, keys: list[str], part: str, most: int) -> Data
 
 
 def row_moments(df: DataFrame, keys: list[str], features: list[str], target: str) -> DataFrame:
-    """One partial statistic per key and task input of the complete rows of ``df``;
-    the rows are not shuffled. Keys must be few (folds, options)."""
+    """Statistics of the complete rows of ``df``, at most ``MERGE`` per key: one per key and
+    task, merged; the rows are not shuffled. Keys must be few (folds, options)."""
     schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keys) + ", " + COLUMNS
     names = [*features, target]
 
@@ -114,4 +120,6 @@ def row_moments(df: DataFrame, keys: list[str], features: list[str], target: str
             yield packed(list(seen.items()), keys)
 
     cols = [F.col(c) for c in keys] + [F.col(c).cast("double").alias(c) for c in names]
-    return df.select(*cols).dropna(subset=names).mapInPandas(run, schema)
+    parts = materialize(df.select(*cols).dropna(subset=names).mapInPandas(run, schema)
+                        .withColumn("part", F.spark_partition_id().cast("long")))
+    return merge_parts(parts, keys, "part", (parts.agg(F.max("part")).first()[0] or 0) + 1)

@@ -708,14 +708,16 @@ def _knn_cv_ctes(trials: list[dict]) -> list[tuple[str, str]]:
   (select delivery_time from ur where r = un.n - ({N_FOLDS - 1} - i) * un.s) as hi from un, range({N_FOLDS}) t(i)"""),
         ("pr", f"""select fb.fold, a.r as q, a.y as truth, b.r, b.y, {_L1} as d1, {_L2} as d2 from fb
   join tr a on a.delivery_time >= fb.lo and (fb.hi is null or a.delivery_time < fb.hi) join tr b on b.delivery_time < fb.lo""")]
-    parts = []
-    for i, t in enumerate(trials):
-        p = "avg(y)" if t["weights"] == "uniform" else _BY_DISTANCE
-        parts.append(f"""select {i} as trial, fold, avg(abs(p - truth)) as mae from (
-  select fold, q, any_value(truth) as truth, {p} as p from (
-    select *, d{t['p']} as d, row_number() over (partition by fold, q order by d{t['p']}, r) as rn from pr) x
-  where rn <= {t['n_neighbors']} group by fold, q) y group by fold""")
-    return ctes + [("fm", " union all ".join(parts))]
+    kinds = sorted({t["p"] for t in trials})
+    most = {p: max(t["n_neighbors"] for t in trials if t["p"] == p) for p in kinds}
+    ranked = " union all ".join(f"""select {p} as p, fold, q, truth, y, d{p} as d,
+  row_number() over (partition by fold, q order by d{p}, r) as rn from pr qualify rn <= {most[p]}""" for p in kinds)
+    table = ", ".join(f"({i}, {t['n_neighbors']}, '{t['weights']}', {t['p']})" for i, t in enumerate(trials))
+    return ctes + [
+        ("rk", ranked), ("tt", f"select * from (values {table}) x(trial, k, weights, p)"),
+        ("fm", f"""select trial, fold, avg(abs(pr - truth)) as mae from (
+  select trial, fold, q, any_value(truth) as truth, case when weights = 'uniform' then avg(y) else {_BY_DISTANCE} end as pr
+  from rk join tt on rk.p = tt.p and rn <= k group by trial, fold, q, weights) x group by trial, fold""")]
 
 
 KNN_PARAMS = {"n_neighbors": 25, "weights": "distance", "p": 2}
@@ -757,23 +759,65 @@ def q_sequence_forecast(spark, d):
 select cast(fold as bigint) as fold, {O.rd('mae', 'mae')} from fm"""))
 def q_cv_mae(spark, d):
     """M7: fold MAEs of a kNN regression over five expanding time folds."""
-    from gridcast.plans.tuning import fold_maes
+    from gridcast.plans.tuning import knn_fold_errors
 
     train, _, feats = _model_split(spark, d)
-    maes = fold_maes(train, "knn", KNN_PARAMS, N_FOLDS, features=feats)
-    return spark.createDataFrame([(i, m) for i, m in enumerate(maes)], "fold int, mae double")
+    return knn_fold_errors(train, [KNN_PARAMS], N_FOLDS, features=feats).select("fold", "mae")
 
 
-@query("param_search", _param_search_sql(3))
+N_TRIALS = 50
+
+
+@query("param_search", _param_search_sql(N_TRIALS))
 def q_param_search(spark, d):
-    """M8/O2: three kNN trials over its whole search space, best first."""
+    """M8/O2: fifty kNN trials over its whole search space, best first."""
     from gridcast.plans.tuning import param_search
 
     train, _, feats = _model_split(spark, d)
-    trials = param_search(train, "knn", 3, N_FOLDS, features=feats)
+    trials = param_search(train, "knn", N_TRIALS, N_FOLDS, features=feats)
     return trials.orderBy("cv_mae", "trial")
 
 
+LINEAR_FEATURES = ("production_lag24h", "wind_speed_100m", "temperature_2m", "pressure_msl")
+
+
+def _linear_cv_sql() -> str:
+    """Least squares per fold: covariances of the training rows, then Gaussian
+    elimination written out for the four features."""
+    n = len(LINEAR_FEATURES)
+    v = [f"cast({c} as double)" for c in LINEAR_FEATURES]
+    terms = [f"covar_pop(b.{x}, b.{z}) as a{i}{j}" for i, x in enumerate(LINEAR_FEATURES) for j, z in enumerate(LINEAR_FEATURES)]
+    terms += [f"covar_pop(b.{x}, b.y) as b{i}" for i, x in enumerate(LINEAR_FEATURES)]
+    terms += [f"avg(b.{x}) as m{i}" for i, x in enumerate(LINEAR_FEATURES)] + ["avg(b.y) as my"]
+    ctes = [c for c in _knn_cv_ctes([KNN_PARAMS]) if c[0] not in ("pr", "rk", "tt", "fm", "tr", "te")]
+    ctes = [(k, q.replace("select site_name", "select " + ", ".join(f"{x} as {c}" for x, c in zip(v, LINEAR_FEATURES)) + ", site_name", 1))
+            if k == "mm" else (k, q) for k, q in ctes]
+    at = next(i for i, c in enumerate(ctes) if c[0] == "th") + 1
+    ctes.insert(at, ("tr", "select mm.* from mm, th where delivery_time < th.thr"))
+    ctes.append(("e0", f"select fb.fold, {', '.join(terms)} from fb join tr b on b.delivery_time < fb.lo group by fb.fold"))
+    for k in range(n - 1):
+        new = [f"a{i}{j} - a{i}{k} / a{k}{k} * a{k}{j} as a{i}{j}" for i in range(k + 1, n) for j in range(k + 1, n)]
+        new += [f"b{i} - a{i}{k} / a{k}{k} * b{k} as b{i}" for i in range(k + 1, n)]
+        ctes.append((f"e{k + 1}", f"select * replace ({', '.join(new)}) from e{k}"))
+    prev = f"e{n - 1}"
+    for k in range(n - 1, -1, -1):
+        rest = "".join(f" - a{k}{j} * c{j}" for j in range(k + 1, n))
+        ctes.append((f"s{k}", f"select *, (b{k}{rest}) / a{k}{k} as c{k} from {prev}"))
+        prev = f"s{k}"
+    pred = "s0.my" + "".join(f" + s0.c{i} * (a.{c} - s0.m{i})" for i, c in enumerate(LINEAR_FEATURES))
+    return O.with_ctes(ctes, f"""select cast(s0.fold as bigint) as fold, {O.rd(f'avg(abs({pred} - a.y))', 'mae')} from s0
+  join fb on fb.fold = s0.fold join tr a on a.delivery_time >= fb.lo and (fb.hi is null or a.delivery_time < fb.hi) group by s0.fold""")
+
+
+@query("linear_cv", _linear_cv_sql())
+def q_linear_cv(spark, d):
+    """M7: fold MAEs of a linear regression, all folds from merged statistics of the fold ranges."""
+    from gridcast.plans.tuning import linear_fold_errors
+
+    train, _, _ = _model_split(spark, d)
+    return linear_fold_errors(train, N_FOLDS, features=LINEAR_FEATURES)
+
+
 @query("experiment_results")
 def q_experiment_results(spark, d):
     """Sequence sweep over all sites, models, lengths and drop options, each

@@ -172,9 +172,7 @@ def fit_windows(moments: DataFrame, scales: DataFrame, models: list[str]) -> Dat
                     full = np.zeros((len(w) + 1, len(mean) + 1))
                     full[:-1, :-1], full[-1, -1] = w, 1
                     m = Moments(m.n, full @ m.mean, full @ m.dev @ full.T)
-                spread = np.sqrt(m.dev[-1, -1] / m.n)
-                # the penalty of Spark's own linear regression: relative to the spread of the target
-                coef, b = m.ridge(RIDGE / spread) if spread > 0 else (np.zeros(len(m.mean) - 1), m.mean[-1])
+                coef, b = m.fit(RIDGE)
                 if model in HEADS:
                     coef = coef @ w
                 coef = coef * yr / std

@@ -1,8 +1,11 @@
 """Cross-validation, parameter search and train-and-evaluate.
 
 Folds are time bounds on the training frame (no ``isin`` over collected
-times). Every fit is a distributed ``spark.ml`` job; the trial table is a
-small DataFrame of parameter rows and scores.
+times). Where a model allows it, all folds and trials are one set of jobs: kNN
+trials are read off one list of neighbours per row and distance
+(:func:`knn_fold_errors`), linear folds come from merged statistics of the fold ranges
+(:func:`linear_fold_errors`). Every tree fit is a distributed ``spark.ml`` job per fold
+and trial; the trial table is a small DataFrame of parameter rows and scores.
 """
 
 from __future__ import annotations
@@ -14,12 +17,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridcast.operators.models import (DEFAULT_PARAMS, MAX_DEPTH, ForecastModel, fit_model, load_json, path_exists,
-                                       predict, save_json)
-from gridcast.operators.split import split_time, time_folds
+from gridcast.operators.models import (DEFAULT_PARAMS, MAX_DEPTH, TRAIN_ID, ForecastModel, effective_params, fit_model, load_json,
+                                       path_exists, predict, save_json)
+from gridcast.operators.knn import knn_neighbors, neighbour_sums, weighted_mean
+from gridcast.operators.moments import row_moments, total, unpacked
+from gridcast.operators.split import fold_bounds, split_time, time_folds, with_fold
 from gridcast.roles import DEFAULT_ROLES, Roles
 from gridcast.session import materialize
 
@@ -54,12 +60,84 @@ def usable_folds(df: DataFrame, n_splits: int, roles: Roles = DEFAULT_ROLES) ->
     return [(t, v) for t, v in time_folds(df, n_splits, roles) if not t.isEmpty() and not v.isEmpty()]
 
 
+def folded(df: DataFrame, n_splits: int, roles: Roles, features: Sequence[str]) -> DataFrame:
+    """Features, target and ``_fold``: the fold that validates on the row (-1:
+    none). Fold f trains on the rows with a smaller ``_fold``."""
+    timed = df.where(F.col(roles.time).isNotNull())
+    tagged = with_fold(timed, fold_bounds(timed, n_splits, roles.time), roles.time, "_fold")
+    return tagged.select(*features, roles.target, F.coalesce("_fold", F.lit(-1)).alias("_fold"))
+
+
+def knn_fold_errors(df: DataFrame, trials: Sequence[dict[str, Any]], n_splits: int = 5, roles: Roles = DEFAULT_ROLES,
+                    features: Sequence[str] | None = None) -> DataFrame:
+    """``trial, fold, mae`` of kNN parameter sets over all folds.
+
+    Per distance (``p``), one join gives every validation row its nearest training rows, as many
+    as the largest trial takes; running sums over their ranks hold the prediction of
+    every trial at the rank where it ends. So the joins do not grow with trials or folds.
+    """
+    feats = list(features) if features is not None else feature_columns(df, roles)
+    sets = [effective_params("knn", t) for t in trials]
+    rows = materialize(folded(df, n_splits, roles, feats).withColumn(TRAIN_ID, F.monotonically_increasing_id()))
+    val = rows.where("_fold >= 0")
+    truth = val.select(F.col(TRAIN_ID).alias("_qid"), F.col("_fold").alias("fold"), F.col(roles.target).alias("_truth"))
+    out = None
+    for p in sorted({int(t.get("p", 2)) for t in sets}):
+        mine = [(i, int(t.get("n_neighbors", 25)), t.get("weights", "uniform")) for i, t in enumerate(sets) if int(t.get("p", 2)) == p]
+        top = knn_neighbors(rows, val, features=feats, target=roles.target, train_id=TRAIN_ID, query_id=TRAIN_ID,
+                            k=max(k for _, k, _ in mine), p=p, segment="_fold")
+        whole = Window.partitionBy("_qid")
+        first = whole.orderBy("_rn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        sums = neighbour_sums(lambda c: F.sum(c).over(first))
+        curve = top.select("_qid", "_rn", F.max("_rn").over(whole).alias("_all"), *[c.alias(n) for n, c in sums.items()])
+        sums = {n: F.col(n) for n in sums}
+        ends = F.array(*[F.struct(F.lit(i).alias("trial"), F.lit(k).alias("k"), F.lit(w).alias("weights")) for i, k, w in mine])
+        here = F.filter(ends, lambda t: (t["k"] == F.col("_rn")) | ((F.col("_rn") == F.col("_all")) & (t["k"] > F.col("_all"))))
+        pred: Column = F.when(F.col("t.weights") == "uniform", weighted_mean(weights="uniform", **sums)).otherwise(
+            weighted_mean(weights="distance", **sums))
+        scored = (curve.withColumn("t", F.explode(here)).select("_qid", F.col("t.trial").alias("trial"), pred.alias("_pred"))
+                  .join(truth, "_qid").groupBy("trial", "fold").agg(F.avg(F.abs(F.col("_pred") - F.col("_truth"))).alias("mae")))
+        out = scored if out is None else out.unionByName(scored)
+    return out
+
+
+def linear_fits(df: DataFrame, n_splits: int, roles: Roles, features: Sequence[str], weight_decay: float = 0.0) -> DataFrame:
+    """``fold, coef, intercept``: the linear regression of every fold's training
+    rows, from the statistics of the fold ranges; each is read once and merged into all later folds."""
+    parts = row_moments(df, ["_fold"], list(features), roles.target).where(F.col("_fold") < n_splits - 1)
+
+    def solve(rows: pd.DataFrame) -> pd.DataFrame:
+        coef, intercept = total(unpacked(rows)).fit(weight_decay)
+        return pd.DataFrame({"fold": [rows["fold"].iat[0]], "coef": [coef], "intercept": [intercept]})
+
+    later = parts.withColumn("fold", F.explode(F.sequence(F.col("_fold") + 1, F.lit(n_splits - 1))))
+    return later.groupBy("fold").applyInPandas(solve, "fold int, coef array<double>, intercept double")
+
+
+def linear_fold_errors(df: DataFrame, n_splits: int = 5, roles: Roles = DEFAULT_ROLES, features: Sequence[str] | None = None,
+                       weight_decay: float = 0.0) -> DataFrame:
+    """``fold, mae`` of a linear regression; the number of jobs does not depend on the folds."""
+    feats = list(features) if features is not None else feature_columns(df, roles)
+    rows = folded(df, n_splits, roles, feats)
+    fits = F.broadcast(linear_fits(rows, n_splits, roles, feats, weight_decay))  # n_splits rows
+    pred = F.col("intercept")
+    for i, c in enumerate(feats):
+        pred = pred + F.col("coef")[i] * F.col(c).cast("double")
+    return (rows.withColumnRenamed("_fold", "fold").dropna(subset=[*feats, roles.target]).join(fits, "fold")
+            .groupBy("fold").agg(F.avg(F.abs(pred - F.col(roles.target))).alias("mae")))
+
+
 def fold_maes(df: DataFrame, model_type: str, params: dict[str, Any], n_splits: int = 5,
               roles: Roles = DEFAULT_ROLES, features: Sequence[str] | None = None,
               folds: list[tuple[DataFrame, DataFrame]] | None = None) -> list[float]:
-    """MAE per expanding time fold (M7); empty folds are skipped. ``folds``
-    (from :func:`usable_folds`) are reused when many parameter sets are tried."""
+    """MAE per expanding time fold (M7); empty folds are skipped. kNN and linear
+    models score all folds in one set of jobs; other models are fitted fold by fold, on ``folds``
+    (from :func:`usable_folds`) if many parameter sets are tried."""
     feats = list(features) if features is not None else feature_columns(df, roles)
+    if model_type in ("knn", "linear"):
+        errors = (knn_fold_errors(df, [params], n_splits, roles, feats) if model_type == "knn" else
+                  linear_fold_errors(df, n_splits, roles, feats, float(effective_params("linear", params).get("weight_decay", 0.0))))
+        return [r["mae"] for r in errors.orderBy("fold").collect()]  # n_splits rows
     out = []
     for train, val in usable_folds(df, n_splits, roles) if folds is None else folds:
         m = fit_model(train, feats, roles.target, model_type, params)
@@ -108,14 +186,18 @@ def param_search(df: DataFrame, model_type: str, n_trials: int, n_splits: int =
     set; pick the best with :func:`best_trial`. ``overrides`` pins values
     (for example a cap on the tree count)."""
     rng = random.Random(seed)
-    rows = []
+    spark = df.sparkSession
+    sets = [sample_params(model_type, rng) | (overrides or {}) for _ in range(int(n_trials))]
+    names = [json.dumps(p, sort_keys=True) for p in sets]
+    if model_type == "knn" and sets:
+        trials = spark.createDataFrame(list(enumerate(names)), "trial int, params string")
+        errors = knn_fold_errors(df, sets, n_splits, roles, features).groupBy("trial").agg(F.avg("mae").alias("cv_mae"))
+        return materialize(trials.join(errors, "trial", "left").select("trial", "params", F.coalesce("cv_mae", F.lit(float("inf"))).alias(
+            "cv_mae")))
     folds = usable_folds(df, n_splits, roles)
-    for i in range(int(n_trials)):
-        params = sample_params(model_type, rng)
-        params.update(overrides or {})
-        cv, _ = cross_validate(df, model_type, params, n_splits, roles, features, folds=folds)
-        rows.append((i, json.dumps(params, sort_keys=True), float(cv)))
-    return df.sparkSession.createDataFrame(rows, "trial int, params string, cv_mae double")
+    rows = [(i, name, float(cross_validate(df, model_type, p, n_splits, roles, features, folds=folds)[0]))
+            for i, (name, p) in enumerate(zip(names, sets, strict=True))]
+    return spark.createDataFrame(rows, "trial int, params string, cv_mae double")
 
 
 def best_trial(trials: DataFrame) -> DataFrame:

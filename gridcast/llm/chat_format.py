@@ -8,9 +8,9 @@ Input is a log of events ``conv_id, seq, kind, msg, role, text``:
 * ``regenerate`` empties it for a new stream, and discards every later
   message that had been opened before.
 
-The fold keeps, per message, what came since its last opening event, joins
-the pieces in sequence order, and drops messages that a regeneration of an
-earlier one discarded. Deltas are folded per message before the conversation
+The fold drops a message's events up to the last regeneration of an earlier message,
+keeps what came since its last opening event, and joins the pieces in sequence order;
+what comes after such a regeneration makes a new message. Deltas are folded per message before the conversation
 is put together, so only final messages meet in the conversation's row; the
 windows per conversation are sorts that spill, not collections. One
 conversation is one training example and so one row of the output.
@@ -23,7 +23,7 @@ The loss mask lists ``(turn, start, length)`` in code points inside the turn.
 
 Defined cases: a null text or role counts as empty; null conversation ids are
 one conversation; events with equal ``seq`` fold in the order of kind and
-text; deltas or edits of a message that was never opened give an empty role;
+text; deltas or edits of a message that was never opened, or not since it was discarded, give an empty role;
 an unknown kind is ignored; an empty log gives no rows; extra columns are
 ignored.
 """
@@ -55,21 +55,19 @@ def fold_events(log: DataFrame) -> DataFrame:
     opening = F.col("kind").isin("message", "edit", "regenerate")
     per_msg = Window.partitionBy("conv_id", "msg")
     run = per_msg.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    at = F.struct(*order)
+    earlier = Window.partitionBy("conv_id").orderBy("msg").rangeBetween(Window.unboundedPreceding, -1)
     e = (e.where(opening | (F.col("kind") == "delta"))
+         .withColumn("cut", F.max(F.when(F.col("kind") == "regenerate", at)).over(earlier))
+         .where(F.col("cut").isNull() | (at > F.col("cut")))
          .withColumn("epoch", F.sum(F.when(opening, 1).otherwise(0)).over(run))
          .withColumn("last", F.max("epoch").over(per_msg)))
-    # text of the last epoch; role of the message's own opening; times of opening and regeneration
+    # text of the last epoch; role of the message's own opening
     live = F.col("epoch") == F.col("last")
     piece = F.when(live & (F.col("kind") != "regenerate"), F.struct("seq", "kind", "text"))
-    opened_at = F.max(F.when(opening & (F.col("kind") != "edit"), F.col("seq")))
-    m = (e.groupBy("conv_id", "msg")
-         .agg(F.array_join(F.transform(F.array_sort(F.collect_list(piece)), lambda x: x["text"]), "").alias("text"),
-              F.max_by("role", F.when(F.col("kind") == "message", F.col("seq"))).alias("role"),
-              opened_at.alias("opened"),
-              F.max(F.when(F.col("kind") == "regenerate", F.col("seq"))).alias("again")))
-    before = Window.partitionBy("conv_id").orderBy("msg").rowsBetween(Window.unboundedPreceding, -1)
-    m = m.withColumn("cut", F.max("again").over(before))
-    return (m.where(F.col("cut").isNull() | (F.col("opened") > F.col("cut")))
+    return (e.groupBy("conv_id", "msg")
+            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(piece)), lambda x: x["text"]), "").alias("text"),
+                 F.max_by("role", F.when(F.col("kind") == "message", at)).alias("role"))
             .select("conv_id", "msg", F.coalesce("role", F.lit("")).alias("role"), "text"))
 
 

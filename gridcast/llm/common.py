@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +55,29 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def set_aside(df: DataFrame, *added: str) -> DataFrame:
+    """``df`` with underscores at the end of columns named as the ``added`` ones,
+    until no two columns share a name."""
+    new = {a.lower() for a in added}
+    taken, names = {c.lower() for c in df.columns} | new, {}
+    for c in df.columns:
+        n = c
+        while c.lower() in new and n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        names[c] = n
+    return df.select(*[F.col(f"`{c}`").alias(names[c]) for c in df.columns])
+
+
+def give_back() -> None:
+    """In a Python worker: return freed memory to the system. Idle workers are kept for
+    later stages, and the allocators would keep the most that a batch ever took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def finite_vector(vector: Column) -> Column:
     """True for an array that is not null and holds no null, NaN or infinity."""
     return vector.isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))

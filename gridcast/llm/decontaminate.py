@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import table, written
+from gridcast.llm.common import fresh, give_back, set_aside, table, written
 
 WINDOW = 10
 MAX_WINDOWS = 200_000
@@ -119,7 +119,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     sc = docs.sparkSession.sparkContext
     wins = written(benchmark_windows(benchmark, item_id_col, item_text_col, window))
     passes = max(1, -(-wins.count() // max_windows))
-    df = docs.select(*[F.col(f"`{c}`").alias(c + "_" if c.lower() in ADDED else c) for c in docs.columns])
+    df = set_aside(docs, *ADDED, "hit_spans")
+    kept, (own,) = df.columns, fresh(df, "state")
     text = F.col(f"`{text_col}`")
     state = F.lit(None).cast("struct<n:long,spans:array<long>,items:array<string>>")
 
@@ -138,20 +139,26 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
                         items |= set(items0)
                     out.append((len(words), [x for s in spans for x in s], sorted(items)))
                 yield pd.DataFrame(out, columns=["n", "spans", "items"])
+                del texts, before, out
+                give_back()
         return scan
 
     part = F.pmod(F.xxhash64("key"), F.lit(passes))
     for p in range(passes):
         rows = [(r["key"], list(r["ids"])) for r in wins.where(part == p).collect()]  # max_windows rows on average
-        df = df.withColumn("_state", one_pass(sc.broadcast(WindowIndex(rows)))(text, state if p == 0 else F.col("_state")))
-
-    s = F.col("_state")
-    spans = F.transform(F.sequence(F.lit(0), F.expr("size(_state.spans) div 2").cast("int") - 1), lambda i: F.struct(
+        shared = sc.broadcast(WindowIndex(rows))
+        df = df.withColumn(own, one_pass(shared)(text, state if p == 0 else F.col(own)))
+        if passes > 1:  # one index at a time in memory
+            df = written(df)
+            shared.destroy()
+
+    s = F.col(own)
+    spans = F.transform(F.sequence(F.lit(0), F.floor(F.size(s["spans"]) / 2).cast("int") - 1), lambda i: F.struct(
         s["spans"][i * 2].alias("first"), s["spans"][i * 2 + 1].alias("end")))
     df = df.withColumn("hit_spans", F.when(F.size(s["spans"]) > 0, spans).otherwise(
         F.array().cast("array<struct<first:long,end:long>>")))
     hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["first"])
-    return df.select(*[c for c in df.columns if c not in ("_state", "hit_spans")], s["n"].alias("n_words"),
+    return df.select(*[F.col(f"`{c}`") for c in kept], s["n"].alias("n_words"),
                      hit.alias("n_hit"), F.size(s["items"]).cast("long").alias("n_items"),
                      F.sha2(F.array_join(s["items"], ","), 256).alias("items_sha256"),
                      (F.size(s["spans"]) > 0).alias("contaminated"), "hit_spans")
@@ -171,10 +178,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
                   **kw) -> DataFrame:
     """The columns of ``docs`` without contaminated documents, or (``remove =
     "spans"``) with the hit spans cut out of the texts."""
-    added = {c.lower() for c in docs.columns} & set(ADDED)
-    if added:  # the judged columns are dropped again, so clashing ones are set aside
-        docs = docs.withColumnsRenamed({c: "kept__" + c for c in docs.columns if c.lower() in added})
-    d = find_contamination(docs, benchmark, text_col=text_col, **kw)
+    aside = set_aside(docs, *ADDED, "hit_spans")  # the judged columns are dropped again
+    d = find_contamination(aside, benchmark, text_col=text_col, **kw)
     if remove == "documents":
         d = d.where(~F.col("contaminated"))
     else:
@@ -185,7 +190,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
 
         d = d.withColumn(text_col, F.when(F.col("contaminated"), cut(F.col(f"`{text_col}`"), "hit_spans"))
                          .otherwise(F.col(f"`{text_col}`")))
-    return d.select(*[F.col(f"`{c}`").alias(c.removeprefix("kept__")) for c in docs.columns])
+    return d.select(*[F.col(f"`{a}`").alias(c) for a, c in zip(aside.columns, docs.columns, strict=True)])
 
 
 def op7_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

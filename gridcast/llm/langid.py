@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import table
+from gridcast.llm.common import fresh, give_back, set_aside, table
 from gridcast.llm.quality import fold
 
 BITS = 16
@@ -399,6 +399,7 @@ def train(rows: DataFrame, per_language: int = PER_LANGUAGE, shards: int = SHARD
         part = part.sort_values(["lang", "text"])
         y = part["lang"].map({lang: j for j, lang in enumerate(labels)}).to_numpy()
         w, t = fit(part["text"].tolist(), y, k, lexicon, 3)
+        give_back()
         return pd.DataFrame({"n": [len(part)], "m": [pickle.dumps((w.astype(np.float32), t))]})
 
     parts = sample.groupBy("shard").applyInPandas(learn, "n long, m binary").collect()  # `shards` models
@@ -418,12 +419,14 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     @F.pandas_udf("lang string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            yield pd.DataFrame(shared.value.predict(list(texts)), columns=["lang", "score"])
-
-    added = ("lang_pred", "lang_score")
-    base = docs.select(*[F.col(f"`{c}`").alias(c + "_" if c.lower() in added else c) for c in docs.columns])
-    d = base.withColumn("_lid", run(F.col(f"`{text_col}`")))
-    return d.select(*base.columns, F.col("_lid.lang").alias("lang_pred"), F.col("_lid.score").alias("lang_score"))
+            yield pd.DataFrame(shared.value.predict(texts), columns=["lang", "score"])
+            del texts
+            give_back()
+
+    base = set_aside(docs, "lang_pred", "lang_score")
+    own, = fresh(base, "lid")
+    d = base.withColumn(own, run(F.col(f"`{text_col}`")))
+    return d.select(*[F.col(f"`{c}`") for c in base.columns], F.col(own)["lang"].alias("lang_pred"), F.col(own)["score"].alias("lang_score"))
 
 
 def training_rows(docs: DataFrame) -> DataFrame:

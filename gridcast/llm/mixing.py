@@ -12,10 +12,7 @@ virtual finish time and cut there. The one document per source that straddles
 the cut is left out, and the words it leaves unspent are filled: the copies
 behind the cut are offered in queue order and each that still fits is taken,
 until no untaken copy behind the cut fits. They are offered in batches of at
-most ``FILL_ROWS`` rows a source, found by counts per range. With
-``refill=False`` (``op3_mixing``, whose SQL has this rule) one running sum
-over the copies within 8 times the largest document does the filling, and ends
-at the first copy that does not fit.
+most ``FILL_ROWS`` rows a source, found by counts per range.
 
 Cumulative sums never meet in one task: a source is dealt into ranges of its
 digest (``CHUNK_ROWS`` rows each), summed within a range and carried over the
@@ -43,6 +40,15 @@ FILL_ROWS = 1000
 MAX_REPEAT = 3
 
 
+def mix_key(text_digest: Column, row_id: Column, seed: str) -> Column:
+    """Digest that orders a source's queue; rows without an id spread by their texts."""
+    return F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(row_id.cast("string"), F.lit("-")), text_digest).cast("binary"))
+
+
+def text_digest(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
@@ -141,17 +147,14 @@ def refilled(q: DataFrame, spent: DataFrame, max_repeat: int) -> DataFrame | Non
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: float = 1.0, max_repeat: int = MAX_REPEAT,
-        seed: str = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        refill: bool = True) -> DataFrame:
+        seed: str = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The plan of the mix, one row per document: ``doc_id, size, source,
     source_size, target, starts`` and ``taken``. ``starts`` holds the virtual
     finish time of each copy that the mix takes; ``taken`` the words taken."""
     size = word_count(F.col(f"`{text_col}`"))
     sized = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"),
-                        size.alias("size"),
-                        F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("-"))
-                                          ).cast("binary")).alias("mix_key"),
-                        F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")).alias("tie"))
+                        size.alias("size"), text_digest(F.col(f"`{text_col}`")).alias("tie"))
+    sized = sized.withColumn("mix_key", mix_key(F.col("tie"), F.col("doc_id"), seed))
     sized = written(sized)  # the texts are read once; all that follows works on this narrow table
     targets = source_targets(sized, weights, share, max_repeat)
     q = written(queue(sized, written(targets)))
@@ -169,32 +172,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: float = 1.
     spent = written(spent)
     out = ["doc_id", "mix_key", "tie", "size", "source", "source_size", "target", "starts",
            (F.size("starts") * F.col("size")).cast("long").alias("taken")]
-    if refill:
-        fill = refilled(q, spent, max_repeat)
-        if fill is not None:  # places of rows with words are distinct within a source
-            q = q.join(fill, F.col("source").eqNullSafe(F.col("f_source")) & (F.col("done") == F.col("f_done"))
-                       & (F.col("size") > 0), "left")
-            q = q.withColumn("starts", F.concat("starts", F.coalesce("more", F.array().cast("array<double>"))))
-        return q.select(*out)
-    q = join_sized(q, spent, "by", "rows").drop("rows")
-
-    # the rule of the query's SQL: one running sum over the copies within 8 times the largest document behind the cut
-    fill = (q.where((F.col("size") > 0) & (F.col("gap") >= F.col("size")))
-            .withColumn("e", F.explode(F.sequence(F.lit(0), F.lit(max_repeat - 1))))
-            .withColumn("place", F.col("done") + F.col("e") * F.col("source_size"))
-            .where((F.col("place") > F.col("target"))
-                   & (F.col("place") <= F.col("target") + 8 * F.col("largest"))))
-    row = Window.partitionBy("source").orderBy("place", "tie").rowsBetween(Window.unboundedPreceding, 0)
-    fill = (fill.withColumn("run", F.sum("size").over(row)).where(F.col("run") <= F.col("gap"))
-            .groupBy("doc_id", "mix_key", "tie", F.col("source").alias("f_source"), F.col("done").alias("f_done"))
-            .agg(F.collect_list(F.col("place") / F.col("target")).alias("more")))
-    fill = fill.select(*[F.col(c).alias("f_" + c) for c in ("doc_id", "mix_key", "tie")], "f_source", "f_done", "more")
-    same = [F.col(c).eqNullSafe(F.col("f_" + c)) for c in ("doc_id", "mix_key", "tie", "source", "done")]
-    on = same[0]
-    for c in same[1:]:
-        on = on & c
-    q = q.join(fill, on, "left")
-    q = q.withColumn("starts", F.concat("starts", F.coalesce("more", F.array().cast("array<double>"))))
+    fill = refilled(q, spent, max_repeat)
+    if fill is not None:  # places of rows with words are distinct within a source
+        q = q.join(fill, F.col("source").eqNullSafe(F.col("f_source")) & (F.col("done") == F.col("f_done"))
+                   & (F.col("size") > 0), "left")
+        q = q.withColumn("starts", F.concat("starts", F.coalesce("more", F.array().cast("array<double>"))))
     return q.select(*out)
 
 
@@ -208,9 +190,7 @@ def mixed_documents(docs: DataFrame, range_sort: bool = True, **kw) -> DataFrame
             .agg(F.count(F.lit(1)).alias("p_rows"),
                  F.array_sort(F.flatten(F.collect_list("starts"))).alias("starts")).where(F.size("starts") > 0))
     k, t, n, v, s = fresh(docs, "mk", "mt", "mn", "mv", "ms")
-    d = docs.withColumn(k, F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col(f"`{idc}`").cast("string"), F.lit("-")))
-                                 .cast("binary")))
-    d = d.withColumn(t, F.md5(F.coalesce(F.col(f"`{txt}`"), F.lit("")).cast("binary")))
+    d = docs.withColumn(t, text_digest(F.col(f"`{txt}`"))).withColumn(k, mix_key(F.col(t), F.col(f"`{idc}`"), seed))
     d = d.withColumn(s, F.col(f"`{kw.get('source_col', 'source')}`"))
     out = d.join(plan, (F.col(k) == F.col("p_key")) & (F.col(t) == F.col("p_tie"))
                  & F.col(s).eqNullSafe(F.col("p_source")))
@@ -225,13 +205,14 @@ def mixed_documents(docs: DataFrame, range_sort: bool = True, **kw) -> DataFrame
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mix(docs, refill=False).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
 OP3_SQL = r"""
-with d as (
+with recursive d as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
-         md5('mix-1|' || coalesce(doc_id::varchar, '-')) as k, md5(coalesce(text, '')) as tie from documents),
+         md5(coalesce(text, '')) as tie, md5('mix-1|' || coalesce(doc_id::varchar, '-') || '|' || md5(coalesce(text, ''))) as k
+  from documents),
 s0 as (select source, sum(size)::double as source_size, row_number() over (order by source nulls last) - 1 as rk
        from d group by source),
 s1 as (select *, (rk % 3 + 1)::double as w, source_size * 3e0 as cap from s0),
@@ -241,23 +222,24 @@ s3 as (select *, (budget - coalesce(sum(cap) over (order by ratio, rk rows betwe
 s4 as (select *, first_value(case when ratio >= lv then lv end ignore nulls) over (order by ratio, rk
               rows between unbounded preceding and unbounded following) as level from s3),
 s as (select source, source_size, case when level is null then cap else least(cap, w * level) end as target from s4),
-q as (select d.*, s.source_size, s.target,
+q as (select d.*, s.source_size, s.target, row_number() over () as nr,
              sum(d.size) over (partition by d.source order by k, tie rows unbounded preceding) as done
       from d join s on d.source is not distinct from s.source),
-c as (select *, done + e * source_size as place from q, (values (0), (1), (2)) t(e)),
-served as (select doc_id, k, tie, source, done, count(*) filter (size > 0 and target > 0 and place / target <= 1e0) as n
-           from c group by all),
-g as (select q.source, max(q.target) - sum(n * q.size) as gap, max(q.size) as largest
-      from q join served v on q.doc_id is not distinct from v.doc_id and q.k = v.k and q.tie = v.tie
-       and q.source is not distinct from v.source and q.done = v.done group by q.source),
-f as (select c.*, gap, sum(size) over (partition by c.source order by place, tie rows unbounded preceding) as run
-      from c join g on c.source is not distinct from g.source
-      where size > 0 and gap >= size and place > target and place <= target + 8 * largest),
-fill as (select doc_id, k, tie, source, done, count(*) as m from f where run <= gap group by all)
-select q.doc_id, q.size, q.source_size::bigint as source_size, q.target,
-       ((n + coalesce(m, 0)) * q.size)::bigint as taken
-from q join served v on q.doc_id is not distinct from v.doc_id and q.k = v.k and q.tie = v.tie
-     and q.source is not distinct from v.source and q.done = v.done
-left join fill x on q.doc_id is not distinct from x.doc_id and q.k = x.k and q.tie = x.tie
-     and q.source is not distinct from x.source and q.done = x.done
+c as (select nr, source, size, target, done + e * source_size as place from q, (values (0), (1), (2)) t(e)
+      where size > 0 and target > 0),
+served as (select * from c where place / target <= 1e0),
+behind as (select * from c where place / target > 1e0),
+gaps as (select s.source, floor(s.target - coalesce(sum(v.size), 0))::bigint as room from s
+         left join served v on v.source is not distinct from s.source group by s.source, s.target),
+-- the copies behind the cut in queue order, each taken if it fits what the earlier ones left
+took(source, room, place) as (
+  select source, room, -1e0 from gaps
+  union all
+  select t.source, t.room - arg_min(b.size, b.place), min(b.place) from took t
+  join behind b on b.source is not distinct from t.source and b.place > t.place and b.size <= t.room group by t.source, t.room),
+taken as (select nr from served union all
+          select b.nr from behind b join took t on t.source is not distinct from b.source and t.place = b.place),
+n as (select nr, count(*) as n from taken group by nr)
+select q.doc_id, q.size, q.source_size::bigint as source_size, q.target, (coalesce(n, 0) * q.size)::bigint as taken
+from q left join n using (nr)
 """

@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import BROADCAST_ROWS, fresh, join_hot, table, written, written_with
+from gridcast.llm.common import BROADCAST_ROWS, fresh, give_back, join_hot, table, written, written_with
 from gridcast.llm.decontaminate import KEEP
 
 SHINGLE = 5
@@ -262,7 +262,9 @@ class NearDuplicates:
         @F.pandas_udf("c1 long, c2 long, n int, bands array<long>")
         def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             for texts in batches:
-                yield signatures(list(texts), bands, rows, shingle)
+                yield signatures(texts, bands, rows, shingle)
+                del texts
+                give_back()
 
         s = self.text.withColumn("s", sign("text"))
         s = s.select("id", "th", F.struct("s.c1", "s.c2").alias("c"), F.col("s.n").alias("n"), F.col("s.bands").alias("bands"))
@@ -284,8 +286,11 @@ class NearDuplicates:
         k = self.shingle
 
         @F.pandas_udf("array<long>")
-        def grams(texts: pd.Series) -> pd.Series:
-            return pd.Series(gram_sets(list(texts), k), dtype=object)
+        def grams(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for texts in batches:
+                yield pd.Series(gram_sets(texts, k), dtype=object)
+                del texts
+                give_back()
 
         found = self.text.join(small(wanted), F.col("id").eqNullSafe(F.col("r_id")) & (F.col("th") == F.col("r_th")))
         return found.select(*need.columns, grams("text").alias("grams")).dropDuplicates(["c"])

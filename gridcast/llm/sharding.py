@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import fresh, table, text_crc32, written
+from gridcast.llm.common import fresh, set_aside, table, text_crc32, written
 
 SHARDS = 40
 BUCKET_BYTES = 16 << 20
@@ -31,8 +31,7 @@ SEED = 20_240_501
 def shard(docs: DataFrame, shards: int = SHARDS, bucket_bytes: int = BUCKET_BYTES, seed: int = SEED,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` plus ``shard`` (0 to ``shards`` - 1) and ``slot``."""
-    base = docs.select(*[F.col(f"`{c}`").alias(c + "_" if c.lower() in ("shard", "slot") else c)
-                         for c in docs.columns])
+    base = set_aside(docs, "shard", "slot")
     cols = base.columns
     bucket, place, group, key, rec = fresh(base, "bucket", "place", "records", "key", "rec")
     # size of the input: octets only, no text leaves the scan
@@ -40,7 +39,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, bucket_bytes: int = BUCKET_BYTE
                                 F.lit(0)).alias("b")).first()["b"]
     n = max(1, -(-int(total) // int(bucket_bytes)))
 
-    # pass 1: scatter, and keep the scattered records in the shared folder
+    # pass 1: scatter; the exchange's files hold the scattered records
     h = F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     scattered = base.withColumn(key, h).withColumn(bucket, F.pmod(F.xxhash64(F.lit(seed + 1), F.col(key)), F.lit(n)))
     counts = scattered.groupBy(bucket).count()

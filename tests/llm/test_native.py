@@ -193,3 +193,23 @@ def test_event_fold(spark):
     assert got == fold([e for e in log if e[1] != "unknown"])
     assert got == [("user", "hi"), ("assistant", "Second try"), ("user", "edited!")]
     assert chat_format.render(chat_format.fold_events(df.where("false"))).count() == 0
+
+
+def test_random_event_logs_fold_as_the_brute_force(spark):
+    rng = random.Random(12)
+    kinds, logs = ["message", "message", "delta", "delta", "edit", "regenerate", "other"], {}
+    for conv in range(150):
+        logs[conv] = [(rng.randrange(1, 12) if conv % 3 == 0 else i, rng.choice(kinds), rng.randrange(1, 5), rng.choice(["user", "assistant"]),
+                       rng.choice(["", "a", "bc", None, f"t{i}"])) for i in range(rng.randrange(1, 14))]
+        # events that agree in sequence, kind and text are exchangeable only if they agree in the rest
+        logs[conv] = list({(e[0], e[1], e[4] or ""): e for e in logs[conv]}.values())
+    logs[150] = [(1, "message", 1, "user", "q"), (2, "message", 2, "assistant", "old"), (3, "message", 3, "user", "old"),
+                 (4, "regenerate", 1, None, None), (5, "delta", 2, None, "new"), (6, "edit", 3, None, "edited")]
+    df = spark.createDataFrame([(c, *e) for c, log in logs.items() for e in log],
+                               "conv_id long, seq long, kind string, msg long, role string, text string")
+    got = defaultdict(list)
+    for r in chat_format.fold_events(df.repartition(7)).orderBy("conv_id", "msg").collect():
+        got[r["conv_id"]].append((r["role"], r["text"]))
+    for c, log in logs.items():
+        assert got[c] == fold(log), (c, log)
+    assert got[150] == [("user", ""), ("", "new"), ("", "edited")]

@@ -55,7 +55,7 @@ def test_decontamination_against_brute_force(spark, edge_docs):
     assert {r["doc_id"] for r in clean.collect()} == {i for i, t in docs if brute_hits(t, items)[1] == 0}
     for r in decontaminate.decontaminate(d, b, remove="spans").collect():
         t = dict(docs)[r["doc_id"]]
-        assert len(words(r["text"])) == len(words(t)) - brute_hits(t, items)[1] or brute_hits(t, items)[1] > 0
+        assert len(words(r["text"])) == len(words(t)) - brute_hits(t, items)[1]
     assert decontaminate.find_contamination(edge_docs, b.where("false")).where("contaminated").count() == 0
     assert decontaminate.find_contamination(edge_docs.where("false"), b).count() == 0
 

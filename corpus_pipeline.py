@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.llm import decontaminate, langid, mixing, near_dup, sharding
-from gridcast.llm.common import table
+from gridcast.llm.common import set_aside, table
 from gridcast.session import checkpoint_dir
 
 #: A document is rejected if no language has at least this mean word probability.
@@ -26,9 +26,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents in one of the learned languages; ``und`` and texts
     without a main language go."""
     model = langid.train(langid.training_rows(docs))
-    base = docs.withColumnsRenamed({c: "kept__" + c for c in docs.columns if c.lower() in ("lang_pred", "lang_score")})
+    base = set_aside(docs, "lang_pred", "lang_score")
     kept = langid.identify(base, model).where((F.col("lang_pred") != "und") & (F.col("lang_score") >= LEAST_LANGUAGE_SCORE))
-    return kept.select(*[F.col(f"`{c}`").alias(c.removeprefix("kept__")) for c in base.columns])
+    return kept.select(*[F.col(f"`{a}`").alias(c) for a, c in zip(base.columns, docs.columns, strict=True)])
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

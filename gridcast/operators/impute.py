@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcast.operators.chunks import CHUNK_COL, POS_COL, group_median, positions, spread
+from gridcast.operators.chunks import CHUNK_COL, POS_COL, group_median_weighted, positions, spread
 from gridcast.operators.quality import FLAG
 from gridcast.roles import DEFAULT_ROLES, Roles
 from gridcast.session import materialize
@@ -93,7 +93,7 @@ def impute_target(df: DataFrame, roles: Roles = DEFAULT_ROLES, *, max_fill_rows:
     # z feeds the hour profile, the median and the fill: write it once
     z = materialize(interpolate_gaps(p, roles, value=y, max_fill_rows=max_fill_rows))
     prof = hourly_profile(z, roles, y).withColumnRenamed("hour", "_hour")
-    med = group_median(z, G, y, "_median")
+    med = group_median_weighted(z, G, y, "_median")
     out = (z.withColumn("_hour", F.hour(roles.time))
            .join(prof, [G, "_hour"], "left")
            .join(med, G, "left")

@@ -1,19 +1,26 @@
 """Grid alignment (J4), lag features (W6) and lagged rolling statistics.
 
 On a regular, unique grid a shift by ``L`` rows is the value exactly
-``L * step`` earlier, so lags are range frames ``[-L*step, -L*step]`` and the
-rolling mean/std of the shifted series is one frame
+``L * step`` earlier, and the rolling mean/std of the shifted series is one frame
 ``[-(L + w - 1) * step, -L * step]``. All frames are evaluated in a single
-window pass on ``(group, time chunk)`` partitions with a halo as long as the
-deepest frame, so a large group is spread over many tasks.
+pass over ``(group, time chunk)`` groups with a halo as long as the
+deepest frame, so a large group is spread over many tasks. A window function would
+fold every row's frame anew; here a group's statistics (number, mean, squared
+deviations) of 1, 2, 4 .. neighbouring rows are merged once, and every frame is put
+together from those of its length's binary digits: O(log w) a row. Merging
+subtracts no large sums, so a constant window has a deviation of exactly 0.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from gridcast.operators.chunks import CHUNK_COL, OWN_COL, chunk_size, halo_explode, spread
 from gridcast.operators.quality import FLAG, _parse_seconds
@@ -102,6 +109,54 @@ def lag_feature_names(delay_days: int = 15, prefix: str = "production") -> list[
     return lag_names(default_lags(delay_days), prefix) + rolling_names(DEFAULT_ROLLING, prefix)
 
 
+def frame_moments(y: np.ndarray, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number, mean and sum of squared deviations of ``y[first:end]`` for every frame."""
+    count = np.maximum(end - first, 0)
+    n, mean, dev = (np.zeros(len(first)) for _ in range(3))
+    at, size = first.copy(), 1
+    level_mean, level_dev = np.asarray(y, float), np.zeros(len(y))  # of `size` rows from each row on
+    while size <= count.max(initial=0):
+        use = np.flatnonzero(count & size)
+        i = at[use]
+        gap, whole = level_mean[i] - mean[use], n[use] + size
+        dev[use] += level_dev[i] + gap * gap * (n[use] * size / whole)
+        mean[use] += gap * (size / whole)
+        n[use] = whole
+        at[use] += size
+        gap = level_mean[size:] - level_mean[:-size]  # two neighbouring runs make one of twice the size
+        level_mean, level_dev = level_mean[:-size] + gap / 2, level_dev[:-size] + level_dev[size:] + gap * gap * (size / 2)
+        size *= 2
+    return count, mean, dev
+
+
+def _chunk_features(y: str, lags: Sequence[int], shift: int, rolling, s: int, names: Sequence[str], keep: Sequence[str]):
+    """Lags and rolling statistics of one chunk's own rows; every other column passes as it is."""
+    def run(rows: pa.Table) -> pa.Table:
+        t, valid = rows["_t"].to_numpy(), rows[y].is_valid().to_numpy()
+        order = np.argsort(t, kind="stable")
+        known = order[valid[order]]  # rows with a value, by time
+        at, value = t[known], pc.cast(rows[y], pa.float64()).to_numpy()[known]
+        own = rows.filter(rows[OWN_COL])
+        now = own["_t"].to_numpy()
+        cols = []
+        for lag in lags:
+            i = np.searchsorted(at, now - lag * s)
+            found = i < len(at)
+            found[found] = at[i[found]] == (now - lag * s)[found]
+            cols.append(rows[y].take(pa.array(known[np.minimum(i, max(len(at) - 1, 0))] if len(at) else i, mask=~found)))
+        for win, least, _ in rolling:
+            first, end = np.searchsorted(at, now - (shift + win - 1) * s), np.searchsorted(at, now - shift * s, side="right")
+            n, mean, dev = frame_moments(value, first, end)
+            cols.append(pa.array(mean, mask=(n < least) | (n < 1)))
+            cols.append(pa.array(np.sqrt(dev / np.maximum(n - 1, 1)), mask=(n < least) | (n < 2)))
+        out = own.select(keep)
+        for name, col in zip(names, cols, strict=True):
+            out = out.append_column(name, col)
+        return out
+
+    return run
+
+
 def lag_features(df: DataFrame, roles: Roles = DEFAULT_ROLES, *, lags: Sequence[int] | None = None,
                  roll_shift: int | None = None, rolling=DEFAULT_ROLLING, step="1h",
                  prefix: str = "production", unit: str = "h", delay_days: int = 15,
@@ -126,16 +181,11 @@ def lag_features(df: DataFrame, roles: Roles = DEFAULT_ROLES, *, lags: Sequence[
     size = chunk_size(depth, 0, GRID_CHUNK_STEPS * s)
     t_us = F.unix_micros(F.col(T))
     h = spread(halo_explode(base.withColumn("_t", t_us), F.col("_t"), size, before=depth, after=0), G)
-    w = Window.partitionBy(G, CHUNK_COL).orderBy("_t")
-    cols = []
-    for L, name in zip(lags, lag_names(lags, prefix, unit)):
-        cols.append(F.max(y).over(w.rangeBetween(-L * s, -L * s)).alias(name))
-    for (win, minp, label) in rolling:
-        fr = w.rangeBetween(-(roll_shift + win - 1) * s, -roll_shift * s)
-        enough = F.count(y).over(fr) >= F.lit(minp)
-        cols.append(F.when(enough, F.avg(y).over(fr)).alias(f"{prefix}_rolling_mean_{label}"))
-        cols.append(F.when(enough, F.stddev_samp(y).over(fr)).alias(f"{prefix}_rolling_std_{label}"))
-    out = h.select("*", *cols).where(F.col(OWN_COL)).drop(CHUNK_COL, OWN_COL, "_t")
+    long, rolled = lag_names(lags, prefix, unit), rolling_names(rolling, prefix)
+    schema = StructType([*base.schema.fields, *[StructField(n, base.schema[y].dataType) for n in long],
+                           *[StructField(n, DoubleType()) for n in rolled]])
+    run = _chunk_features(y, lags, roll_shift, list(rolling), s, [*long, *rolled], base.columns)
+    out = h.groupBy(G, CHUNK_COL).applyInArrow(run, schema)
     if has_flag and not keep_flagged:
         out = out.where(F.coalesce(F.col(FLAG), F.lit(False)))
     return out

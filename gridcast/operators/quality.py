@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from gridcast.operators.chunks import (CHUNK_COL, OWN_COL, POS_COL, chunk_size,
                                        group_median_weighted, halo_explode, positions, spread)
@@ -51,6 +55,57 @@ def sampling_interval(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
                     .otherwise(F.lit(DEFAULT_INTERVAL_S)).alias("interval_s")))
 
 
+def band_counts(pos: np.ndarray, value: np.ndarray, reach: np.ndarray, tolerance: float) -> np.ndarray:
+    """For every row, how many rows at most ``reach`` positions away (itself included) have a value
+    that differs by less than ``tolerance``; NaN matches nothing. ``pos`` ascends.
+
+    The values' ranks stand in a wavelet matrix: level by level, from the highest bit of the rank on,
+    they are dealt stably into zeros and ones, and a prefix count of the zeros carries every row's
+    frame along. So a row costs O(log rows), however wide its frame.
+    """
+    known = np.flatnonzero(~np.isnan(value))
+    out = np.zeros(len(value), np.int64)
+    if not len(known) or not tolerance > 0:
+        return out
+    at, y, n = pos[known], value[known], reach[known]
+    levels, rank = np.unique(y, return_inverse=True)
+    # ranks in reach of each value: the bounds of y +- tolerance, moved to where the comparison itself turns
+    low, high = np.searchsorted(levels, y - tolerance), np.searchsorted(levels, y + tolerance)
+    near = lambda k: np.abs(levels[np.clip(k, 0, len(levels) - 1)] - y) < tolerance
+    while (step := (low > 0) & near(low - 1)).any():
+        low = low - step
+    while (step := ~near(low)).any():
+        low = low + step
+    while (step := (high < len(levels)) & near(high)).any():
+        high = high + step
+    while (step := ~near(high - 1)).any():
+        high = high - step
+    first, end = np.searchsorted(at, at - n), np.searchsorted(at, at + n, side="right")
+    # numbers of ranks below `high` and below `low` in the frame, both at once
+    want = np.concatenate((high, low))
+    left, right, below = np.tile(first, 2), np.tile(end, 2), np.zeros(2 * len(y), np.int64)
+    for bit in range(len(levels).bit_length() - 1, -1, -1):
+        one = (rank >> bit) & 1
+        zeros = np.concatenate(([0], np.cumsum(1 - one)))
+        l0, r0, take = zeros[left], zeros[right], (want >> bit) & 1 == 1
+        below += np.where(take, r0 - l0, 0)
+        left, right = np.where(take, zeros[-1] + left - l0, l0), np.where(take, zeros[-1] + right - r0, r0)
+        rank = np.concatenate((rank[one == 0], rank[one == 1]))
+    out[known] = below[:len(y)] - below[len(y):]
+    return out
+
+
+def _chunk_counts(y: str, tolerance: float, keep: list[str]):
+    """The band counts of one chunk's own rows; every other column passes as it is."""
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by(POS_COL)
+        value = pc.fill_null(pc.cast(rows[y], pa.float64()), float("nan")).to_numpy()
+        count = band_counts(rows[POS_COL].to_numpy(), value, rows["_n"].to_numpy(), tolerance)
+        return rows.append_column("_cnt", pa.array(count)).filter(rows[OWN_COL]).select([*keep, "_cnt"])
+
+    return run
+
+
 def plateau_flags(df: DataFrame, roles: Roles = DEFAULT_ROLES, *, N: int = 5,
                   window: str | float = "24h", tolerance: float = 0.01,
                   low_thresh: float = 0.1, high_thresh: float = 0.9,
@@ -63,9 +118,9 @@ def plateau_flags(df: DataFrame, roles: Roles = DEFAULT_ROLES, *, N: int = 5,
     sampling interval. A row is a plateau when that count is ``>= N`` and its
     value lies in ``[low, high] * max(target)`` of the group.
 
-    Frame widths must be literals, so groups are bucketed by the next power
-    of two of ``n`` (a handful of branches); each branch counts on
-    ``(group, chunk)`` partitions with a halo of that width.
+    Groups are bucketed by the next power of two of ``n`` (a handful of
+    branches), the halo of each branch's ``(group, chunk)`` groups; the
+    counts come from :func:`band_counts`, so no row holds its frame.
     """
     if roles.target not in df.columns:
         return df.withColumn(FLAG, F.lit(True))
@@ -88,11 +143,8 @@ def plateau_flags(df: DataFrame, roles: Roles = DEFAULT_ROLES, *, N: int = 5,
         part = joined.where(F.col("_nf") == nf)
         size = chunk_size(nf, nf, 4096)
         h = spread(halo_explode(part, F.col(POS_COL), size, before=nf, after=nf), G)
-        w = Window.partitionBy(G, CHUNK_COL).orderBy(POS_COL).rowsBetween(-nf, nf)
-        near = F.collect_list(F.struct(F.col(POS_COL).alias("p"), F.col(y).alias("v"))).over(w)
-        count = F.size(F.filter(near, lambda e: (F.abs(e["p"] - F.col(POS_COL)) <= F.col("_n"))
-                                & (F.abs(e["v"] - F.col(y)) < F.lit(tolerance))))
-        branches.append(h.withColumn("_cnt", count).where(F.col(OWN_COL)).drop(CHUNK_COL, OWN_COL))
+        schema = StructType([*part.schema.fields, StructField("_cnt", LongType())])
+        branches.append(h.groupBy(G, CHUNK_COL).applyInArrow(_chunk_counts(y, tolerance, part.columns), schema))
     if not branches:
         return df.withColumn(FLAG, F.lit(True)).where(F.lit(False))
     out = branches[0]

@@ -84,12 +84,12 @@ def finite_vector(vector: Column) -> Column:
 
 
 def join_hot(left: DataFrame, right: DataFrame, on: str, weight: str, rows: int, how: str = "inner",
-             most: int | None = None) -> DataFrame:
+             most: int | None = None, least: int = HOT_LEAST) -> DataFrame:
     """``left`` joined with ``right``, which has one row per key and says in
     ``weight`` how many rows of ``left`` have the key. Keys with over a
     thousandth of the ``rows`` (at most 1000 keys) are joined by broadcast.
-    ``most``: the largest weight, where it is known."""
-    least = max(HOT_LEAST, rows // 1000)
+    ``most``: the largest weight, where it is known; ``least``: keys with no more rows than that stay whole."""
+    least = max(least, rows // 1000)
     if rows <= least or (most is not None and most <= least):
         return left.join(right, on, how)
     hot, cold = right.where(F.col(weight) > least), right.where(F.col(weight) <= least)

@@ -235,7 +235,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     linked = join_hot(linked.select("c", "root"), whole, "root", "members", got["n"], most=got["most"])
     prints = (prints.join(linked.select(F.col("c").alias("fp"), "component"), "fp", "left")
               .select("fp", "copies", F.coalesce("component", "least").alias("component")))
-    out = join_hot(signed, prints, "fp", "copies", seen["n"], most=copies["most"])
+    out = join_hot(signed, prints, "fp", "copies", seen["n"], most=copies["most"], least=1000)
     return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                       F.col("component").alias("component_id"))
 

@@ -12,6 +12,9 @@ minimum cut, found by max-flow, separates content from boilerplate.
 A boilerplate word or a form condemns all it holds, unless it wraps the page:
 :func:`lift_wrappers` takes the mark off what holds the main text. Layout words
 (``has-sidebar``, ``header-fixed``) only make the blocks outside content dearer.
+Inside an article or main element a class condemns only if all its words are
+boilerplate (``share-buttons``, not ``share-price``), and an id, which pages make
+from headings, only by advert and comment words. Text of hidden or advert inline elements goes.
 
 Nodes whose terminal capacity is at least the sum of their edges keep their
 label in some minimum cut, so they are fixed first and only the doubtful rest
@@ -62,7 +65,13 @@ BOILER_WORDS = set("""ad ads adv advert adverts advertisement advertising sponso
     replies disqus respond cookie cookies consent gdpr notice notices notification alert newsletter subscribe
     subscription signup signin login register share sharing social related recommended recommendations widget popup
     modal overlay toolbar pagination pager tags tagcloud copyright legal disclaimer skip search outbrain taboola
-    contentinfo complementary""".split())
+    contentinfo complementary commentlist commentform kommentar kommentare werbung anzeige commentaire commentaires
+    publicite comentario comentarios publicidad""".split())
+# inside the article, a class only condemns if all its words are boilerplate or name a mere part of the layout
+PART_WORDS = set("""area bar block box button buttons col container content form group header heading icons inner item items
+    links list listing main panel posts row section stories title wrap wrapper articles""".split())
+STRONG_WORDS = set("""ad ads adv advert adverts advertisement comment comments commentlist commentform kommentar kommentare werbung
+    anzeige commentaire commentaires publicite comentario comentarios publicidad""".split())
 READER_WORDS = set("comment comments reply replies disqus respond cookie cookies consent gdpr".split())
 LAYOUT_BEFORE = {"has", "no", "with", "without"}
 LAYOUT_AFTER = {"fixed", "sticky", "page", "layout", "enabled", "disabled", "open", "closed"}
@@ -73,16 +82,19 @@ VERDICT, LIFTABLE = 2, 1
 
 
 class Element:
-    __slots__ = ("tag", "up", "depth", "own", "boiler", "weak", "reader", "content", "anchor", "link", "region")
+    __slots__ = ("tag", "up", "depth", "own", "boiler", "weak", "reader", "content", "anchor", "link", "region", "article", "unseen")
 
     def __init__(self, tag: str, up: Element | None, attrs: str):
         words, hidden, weak, role = set(), False, False, ""
+        in_article = up is not None and up.article
         if attrs:
             for name, value in ATTRIBUTE.findall(attrs):
                 name, value = name.lower(), value.strip("\"'")
                 if name in ("class", "id", "role"):
                     for one in value.split():
                         parts = re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", one).lower())
+                        if in_article and not (set(parts) <= (STRONG_WORDS | PART_WORDS if name == "id" else BOILER_WORDS | PART_WORDS)):
+                            parts = [x for x in parts if x not in BOILER_WORDS]  # a topic's name, as in a heading's id
                         for i, word in enumerate(parts):
                             if word in BOILER_WORDS and ((i and parts[i - 1] in LAYOUT_BEFORE)
                                                          or (i + 1 < len(parts) and parts[i + 1] in LAYOUT_AFTER)):
@@ -109,6 +121,9 @@ class Element:
         self.anchor = (tag in CONTENT_TAGS or role == "main") and not named
         self.weak = (weak and tag not in ("body", "html")) or (up is not None and up.weak)
         self.content = inside or main
+        self.article = in_article or tag in CONTENT_TAGS
+        # of an inline element, all that hides its text for sure
+        self.unseen = tag in INLINE and (hidden or bool(words & STRONG_WORDS) or (up is not None and up.unseen))
         self.link = tag == "a" or (up is not None and up.link)
         self.inherit()
 
@@ -146,6 +161,8 @@ def blocks_of(page: str) -> list[Block]:
                 dropped = None
             continue
         if text is not None:
+            if here.unseen:
+                continue
             if block is None:
                 holder = here
                 while holder.tag in INLINE and holder.up is not None:

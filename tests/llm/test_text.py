@@ -417,3 +417,27 @@ def test_long_texts_are_scored_like_short_ones(monkeypatch):
     parts = [langid.Words(c) for c in langid.slices(langid.code_points(text), 50)]
     assert sum(p.n for p in parts) == whole.n
     assert np.array_equal(np.concatenate([p.hash for p in parts if p.n]), whole.hash)
+
+
+# ------------------------------------------------ html: words inside the article
+
+LONG = "This paragraph of the article is long enough, with commas, to be read as running text by any classifier. " * 2
+
+
+@pytest.mark.parametrize("inner", [
+    f'<section id="legal-status"><p>{LONG}</p></section>', f'<h3 id="social-history">Social history</h3><p>{LONG}</p>',
+    f'<p id="search-methods">{LONG}</p>', f'<div class="share-price"><p>{LONG}</p></div>', f'<blockquote class="reply-quote">{LONG}</blockquote>'])
+def test_topic_words_inside_the_article_condemn_nothing(inner):
+    text = html_extract.main_text(f"<html><body><nav><a href=x>Home</a></nav><article><p>{LONG}</p>{inner}<p>{LONG}</p></article></body></html>")
+    assert text.count("This paragraph of the article") == 6 and "Home" not in text
+    if "Social" in inner:
+        assert "Social history" in text
+
+
+@pytest.mark.parametrize("inner", [
+    '<span style="display:none">Gone words</span>', '<span class="ad">Gone words</span>', '<div class="share-buttons">Gone words</div>',
+    '<ol class="commentlist"><li>Gone words</li></ol>', '<div class="werbung">Gone words</div>', '<section id="kommentare"><p>Gone words</p></section>',
+    '<p hidden>Gone words</p>', '<div class="related-posts"><p>Gone words</p></div>'])
+def test_clear_boilerplate_inside_the_article_goes(inner):
+    text = html_extract.main_text(f"<html><body><article><p>{LONG}</p>{inner}<p>{LONG}</p></article></body></html>")
+    assert "Gone" not in text and text.count("This paragraph of the article") == 4

@@ -161,37 +161,54 @@ class ForecastModel:
     def transform(self, df: DataFrame) -> DataFrame:
         return self.model.transform(df)
 
-    def save(self, path: str) -> None:
-        meta = {"model_type": self.model_type, "features": self.features, "target": self.target}
+    def save(self, path: str, **more: Any) -> None:
+        """Write a new version of the model under ``path``: first the model, then
+        its description with ``more``, whose success marker publishes the version. A
+        write that breaks off leaves the version before it the one that readers get."""
+        meta = {"model_type": self.model_type, "features": self.features, "target": self.target} | more
+        at = f"{path.rstrip('/')}/v{max((n for n, _ in versions(path)), default=0) + 1}"
         if isinstance(self.model, KNNModel):  # the training table
-            self.model.train.write.mode("overwrite").parquet(path.rstrip("/") + "/model")
+            self.model.train.write.parquet(at + "/model")
             meta["params"] = self.model.params
         else:
-            self.model.write().overwrite().save(path.rstrip("/") + "/model")
-
-        s = session()
-        s.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(
-            path.rstrip("/") + "/meta")
+            self.model.write().save(at + "/model")
+        session().createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.text(at + "/meta")
 
     @staticmethod
     def exists(path: str) -> bool:
-        s = session()
-        jvm = s.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/meta")
-        return p.getFileSystem(s.sparkContext._jsc.hadoopConfiguration()).exists(p)
+        return any(done for _, done in versions(path))
+
+    @staticmethod
+    def meta(path: str) -> dict[str, Any]:
+        """Description of the last published version, with its folder as ``at``."""
+        done = [n for n, done in versions(path) if done]
+        if not done:
+            raise ValueError(f"there is no saved model at {path!r}")
+        at = f"{path.rstrip('/')}/v{max(done)}"
+        return json.loads(session().read.text(at + "/meta").first()[0]) | {"at": at}
 
     @staticmethod
-    def load(path: str) -> "ForecastModel":
-        s = session()
-        meta = json.loads(s.read.text(path.rstrip("/") + "/meta").first()[0])
-        at = path.rstrip("/") + "/model"
+    def load(path: str) -> ForecastModel:
+        meta = ForecastModel.meta(path)
+        at = meta["at"] + "/model"
         if meta["model_type"] == "knn":
-            model: Any = KNNModel(s.read.parquet(at), meta["features"], meta["target"], meta["params"])
+            model: Any = KNNModel(session().read.parquet(at), meta["features"], meta["target"], meta["params"])
         else:
             model = PipelineModel.load(at)
         return ForecastModel(meta["model_type"], meta["features"], meta["target"], model)
 
 
+def versions(path: str) -> list[tuple[int, bool]]:
+    """The versions begun under ``path`` and whether each was published."""
+    s = session()
+    root = s.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    fs = root.getFileSystem(s.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    names = [x.getPath().getName() for x in fs.listStatus(root)]
+    return [(int(n[1:]), path_exists(s, f"{path.rstrip('/')}/{n}/meta/_SUCCESS")) for n in names if n[:1] == "v" and n[1:].isdigit()]
+
+
 def fit_model(df: DataFrame, features: Sequence[str], target: str, model_type: str,
               params: dict[str, Any] | None = None) -> ForecastModel:
     """Fit one model on ``df`` (M1/M2/M3/M4)."""

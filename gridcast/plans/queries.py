@@ -745,6 +745,18 @@ def q_knn_forecast(spark, d):
     return _forecast(spark, d, "knn", {"n_neighbors": 25, "weights": "distance"})
 
 
+@query("saved_knn_forecast", _knn_forecast_sql(25))
+def q_saved_knn_forecast(spark, d):
+    """The kNN forecast by a model that was saved, saved again and read back."""
+    from gridcast.operators.models import ForecastModel, fit_model, predict
+
+    train, test, feats = _model_split(spark, d)
+    path = f"{checkpoint_dir(spark)}/models-{uuid.uuid4().hex}"
+    fit_model(train, feats, Y, "knn", {"n_neighbors": 3, "weights": "uniform"}).save(path)  # an older version
+    fit_model(train, feats, Y, "knn", {"n_neighbors": 25, "weights": "distance"}).save(path)
+    return metrics.prediction_frame(predict(ForecastModel.load(path), test), "prediction")
+
+
 @query("sequence_forecast")
 def q_sequence_forecast(spark, d):
     """12-step sequence regression of the test period."""

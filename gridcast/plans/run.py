@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 from gridcast.functions.names import run_name
 from gridcast.operators import clean, metrics
 from gridcast.operators.chunks import positions
-from gridcast.operators.models import (MAIN_PARAMS, SEQUENCE_MODELS, ForecastModel, fit_model, load_json, predict,
-                                       save_json, session)
+from gridcast.operators.models import MAIN_PARAMS, SEQUENCE_MODELS, ForecastModel, fit_model, predict
 from gridcast.operators.panel import group_at
 from gridcast.operators.scale import MinMaxScaling, StandardScaling, fit_minmax, fit_standard
 from gridcast.operators.sequences import RIDGE, sequence_windows, window_inputs
@@ -53,15 +52,13 @@ class SequenceModel:
         return self.y_scale.inverse(out, {"prediction": roles.target, roles.target: roles.target})
 
     def save(self, path: str) -> None:
-        self.model.save(path)
-        save_json(session(),
-                  {"features": self.features, "seq_len": self.seq_len, "model_type": self.model_type, "x": asdict(self.x_scale),
-                   "y": asdict(self.y_scale)},
-                  path.rstrip("/") + "/scalers")
+        """Model, window shape and scalers as one version."""
+        self.model.save(path, sequence={"features": self.features, "seq_len": self.seq_len, "model_type": self.model_type,
+                                        "x": asdict(self.x_scale), "y": asdict(self.y_scale)})
 
     @staticmethod
     def load(path: str) -> SequenceModel:
-        d = load_json(session(), path.rstrip("/") + "/scalers")
+        d = ForecastModel.meta(path)["sequence"]
         fields = lambda x: {k: tuple(v) for k, v in x.items()}
         return SequenceModel(ForecastModel.load(path), d["features"], d["seq_len"], StandardScaling(**fields(d["x"])),
                              MinMaxScaling(**fields(d["y"])), d["model_type"])

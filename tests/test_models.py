@@ -123,3 +123,21 @@ def test_parameters_are_checked():
     with pytest.raises(ValueError, match="30"):
         models.build_regressor("random_forest", {"max_depth": 35})
     assert models.effective_params("random_forest", {})["max_depth"] == models.MAX_DEPTH
+
+
+def test_broken_write_leaves_the_old_version(spark, frame, tmp_path, monkeypatch):
+    path = str(tmp_path / "store")
+    assert models.versions(path) == [] and not models.ForecastModel.exists(path)
+    with pytest.raises(ValueError, match="no saved model"):
+        models.ForecastModel.load(path)
+    fit = lambda k: models.fit_model(frame, ["x1", "x2"], "production_normalized", "knn", {"n_neighbors": k, "p": 2})
+    fit(3).save(path)
+    with monkeypatch.context() as m:  # the model is written, its description is not
+        m.setattr(models.json, "dumps", lambda *a, **k: (_ for _ in ()).throw(OSError("disk full")))
+        with pytest.raises(OSError):
+            fit(5).save(path)
+    assert sorted(models.versions(path)) == [(1, True), (2, False)]
+    assert models.ForecastModel.load(path).model.params["n_neighbors"] == 3
+    fit(7).save(path)
+    assert sorted(models.versions(path)) == [(1, True), (2, False), (3, True)]
+    assert models.ForecastModel.load(path).model.params["n_neighbors"] == 7

@@ -280,3 +280,23 @@ def test_coefficients_obey_their_bound_and_primes_are_prime():
     assert all(abs(int(round(x))) <= exact_algebra.coefficient_bound(m) for x in np.poly(m.astype(float)))
     assert all(exact_algebra.is_prime(n) == all(n % q for q in range(2, int(n ** 0.5) + 1)) for n in range(3, 2000, 2))
     assert np.prod([int(p) for p in exact_algebra.primes_for(10 ** 30)], dtype=object) > 2 * 10 ** 30
+
+
+def test_bounds_spare_most_scores(monkeypatch):
+    """Anchors in tight clusters: a child's bounds leave few rows of far clusters to score, and the hits stay whole."""
+    rng = np.random.default_rng(7)
+    centre = rng.normal(size=(20, 16)) * 100
+    q = np.floor(np.repeat(centre, 40, axis=0) + rng.normal(size=(800, 16))).astype(int)
+    rows = hard_negatives.pd.DataFrame({"at": range(800), "id": range(800), "label": np.arange(800) % 2, "q": list(q)})
+    anchors = hard_negatives._tree_rows(rows[rows["id"] % 4 == 0])
+    scores = q[anchors["at"]] @ q.T
+    anchors["windows"] = [[int(0.9 * s.max())] for s in scores]
+    seen, score = [], hard_negatives._Walk.score
+    monkeypatch.setattr(hard_negatives._Walk, "score", lambda w, i, at: (seen.append(len(at)), score(w, i, at))[1])
+    got = hard_negatives._negatives(10, 30, 90)(anchors, rows)
+    want = []
+    for a, s, (p,) in zip(anchors["at"], scores, anchors["windows"], strict=True):
+        hits = sorted((-int(s[j]), j) for j in range(800) if j % 2 != a % 2 and 30 * p <= 100 * s[j] <= 90 * p)[:10]
+        want += [(a, p, j, -x) for x, j in hits]
+    assert sorted(map(tuple, got.to_numpy().tolist())) == sorted(want)
+    assert 0 < sum(seen) < 0.5 * 400 * len(anchors)

@@ -236,6 +236,23 @@ def q_plateau_flags(spark, d):
     return quality.plateau_flags(_power(spark, d)).select(R.group, R.time, Y, "is_not_plateau")
 
 
+@query("positional_neighbours", O.with_ctes(O.base_ctes("power_hour") + [PN] + O.plateau_ctes("pn", "pf", half_s=21600.0), f"""
+select p.site_name, p.delivery_time, count(*) as neighbours, {O.rd(f'min(q.{Y})', 'lowest')}, {O.rd(f'max(q.{Y})', 'highest')},
+  max(abs(q._pos - p._pos)) as farthest
+from pf_p p join pf_g g on g.site_name = p.site_name
+join pf_p q on q.site_name = p.site_name and q._pos <> p._pos and q._pos between p._pos - g.n and p._pos + g.n
+group by p.site_name, p.delivery_time"""))
+def q_positional_neighbours(spark, d):
+    """Range of the targets within half of a 12-hour window in positions, the row itself left out."""
+    from gridcast.operators.neighbours import NEAR, positional_neighbours, reach_of_window
+
+    power = _power(spark, d)
+    pairs = positional_neighbours(power, reach_of_window(power, 43200.0), [Y])
+    return pairs.groupBy(R.group, R.time).agg(
+        F.count(F.lit(1)).alias("neighbours"), F.min(NEAR + Y).alias("lowest"), F.max(NEAR + Y).alias("highest"),
+        F.max(F.abs(F.col(NEAR + "pos") - F.col(POS_COL))).alias("farthest"))
+
+
 @query("plateau_flags_daily", O.with_ctes(O.base_ctes("ship_day") + [SN] + O.plateau_ctes(
         "sn", "pf", half_s=6 * 86400.0, n_min=5, tol=0.02), f"""
 select site_name, delivery_time, {O.rd(Y, Y)}, is_not_plateau from pf"""))

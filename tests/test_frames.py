@@ -1,9 +1,12 @@
 """Frame statistics and band counts in NumPy against a plain loop."""
 
+import datetime as dt
+
 import numpy as np
 import pytest
 
 from gridcast.operators.lags import frame_moments
+from gridcast.operators.neighbours import positional_neighbours
 from gridcast.operators.quality import band_counts
 
 
@@ -35,3 +38,17 @@ def test_band_counts_against_loops(tolerance):
         got = band_counts(pos, y, reach, tolerance)
         want = [sum(abs(j - i) <= reach[i] and abs(y[j] - y[i]) < tolerance for j in range(size)) for i in range(size)]
         assert got.tolist() == want
+
+
+def test_positional_neighbours_against_loops(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(g, t0 + dt.timedelta(minutes=7 * i), float(i)) for g, n in (("a", 50), ("b", 9), ("c", 1), ("d", 5)) for i in range(n)]
+    rows += [(None, t0, 1.0), ("a", None, 1.0)]
+    df = spark.createDataFrame(rows, "site_name string, delivery_time timestamp, v double")
+    reach = spark.createDataFrame([("a", 4), ("b", 30), ("c", 2), ("x", 3)], "site_name string, n long")
+    size, n = {"a": 50, "b": 9, "c": 1}, {"a": 4, "b": 30, "c": 2}
+    for own in (False, True):
+        got = sorted((r["site_name"], r["v"], r["near_v"]) for r in positional_neighbours(df, reach, ["v"], include_self=own).collect())
+        want = sorted((g, float(i), float(j)) for g, m in size.items() for i in range(m) for j in range(m)
+                      if abs(i - j) <= n[g] and (own or i != j))
+        assert got == want

@@ -688,6 +688,77 @@ def q_boosted_forecast(spark, d):
     return _forecast(spark, d, "xgboost", MAIN_PARAMS["xgboost"])
 
 
+# Trees whose every split SQL can find: few distinct values a feature, so all midpoints are tried.
+TREE_FEATURES = ("hour", "day_of_week", "precipitation")
+TREE_DEPTH, BOOST_ROUNDS, BOOST_RATE = 3, 3, 0.5
+
+
+def _tree_frame_ctes() -> list[tuple[str, str]]:
+    values = "union all ".join(f"select r, tr, {i} as f, v{i} as v from b0 " for i in range(len(TREE_FEATURES)))
+    return O.base_ctes("power_hour", "weather_hour") + [
+        PN, ("mm", f"""select p.site_name, p.delivery_time, p.{Y} as y, cast(hour(p.delivery_time) as double) as v0,
+  isodow(p.delivery_time) - 1.0e0 as v1, precipitation as v2
+from pn p join weather_hour w on p.site_name = w.site_name and p.delivery_time = w.delivery_time"""),
+        ("th", _THR.replace("from pn)", "from mm)")),
+        ("b0", "select *, row_number() over (order by delivery_time, site_name) as r, delivery_time < thr as tr from mm, th"),
+        ("lg", values),
+        ("cd", """select f, (v + nx) / 2 as thr from (select f, v, lead(v) over (partition by f order by v) as nx
+  from (select distinct f, v from lg where tr) x) y where nx is not null""")]
+
+
+def _tree_ctes(name: str, target: str, depth: int) -> list[tuple[str, str]]:
+    """Greedy variance splits of ``target`` (a table ``r, t``), ending in ``name`` (``r, p``)."""
+    ctes = [(f"{name}_n0", f"select r, t, tr, 0 as node from {target} join b0 using (r)")]
+    for k in range(depth):
+        n = f"{name}_n{k}"
+        ctes += [
+            (f"{name}_s{k}", f"select node, f, v, count(*) as c, sum(t) as s from {n} join lg using (r) where {n}.tr group by node, f, v"),
+            (f"{name}_g{k}", f"""select node, f, thr, sum(case when v <= thr then c else 0 end) as nl, sum(case when v <= thr then s else 0 end) as sl,
+  sum(c) as n, sum(s) as t from {name}_s{k} join cd using (f) group by node, f, thr"""),
+            (f"{name}_b{k}", f"""select node, f, thr from (select *, sl * sl / nl + (t - sl) * (t - sl) / (n - nl) - t * t / n as gain from {name}_g{k}
+  where nl > 0 and nl < n) x where gain > 1e-12 qualify row_number() over (partition by node order by round(gain, 9) desc, f, thr) = 1"""),
+            (f"{name}_n{k + 1}", f"""select a.r, a.t, a.tr, case when b.node is null then a.node when lg.v <= b.thr then 2 * a.node + 1
+  else 2 * a.node + 2 end as node from {n} a left join {name}_b{k} b on a.node = b.node left join lg on lg.r = a.r and lg.f = b.f""")]
+    last = f"{name}_n{depth}"
+    return ctes + [(name, f"select r, p from {last} join (select node, avg(t) as p from {last} where tr group by node) x using (node)")]
+
+
+def _tree_sql(rounds: int) -> str:
+    """The sum of ``rounds`` trees, each on twice the residual of those before it (squared loss)."""
+    ctes, before = _tree_frame_ctes() + [("t0", "select r, y as t from b0")], ""
+    for i in range(rounds):
+        ctes += _tree_ctes(f"tree{i}", f"t{i}", TREE_DEPTH)
+        score = f"select r, p from tree{i}" if not before else f"select r, a.p + {BOOST_RATE}e0 * b.p as p from {before} a join tree{i} b using (r)"
+        before = f"f{i}"
+        ctes += [(before, score), (f"t{i + 1}", f"select r, 2 * (y - p) as t from b0 join {before} using (r)")]
+    return O.with_ctes(ctes, f"""select delivery_time as timestamp, site_name as "group", {O.rd('y', 'y_true')}, {O.rd('p', 'y_pred')}
+from b0 join {before} using (r) where not tr""")
+
+
+def _tree_table_forecast(spark, d, model_type, params):
+    from gridcast.operators.models import fit_model
+    from gridcast.operators.trees import read_trees
+    from gridcast.session import materialize
+
+    frame = materialize(calendar_features(panel.normalize_target(_joined(spark, d))).select(R.group, R.time, Y, *TREE_FEATURES))
+    train, test = split.split_time(frame, SPLIT_FRACTION)
+    path = f"{checkpoint_dir(spark)}/models-{uuid.uuid4().hex}"
+    fit_model(train, TREE_FEATURES, Y, model_type, params).save(path)
+    return metrics.prediction_frame(read_trees(spark, path).predict(test), "prediction")
+
+
+@query("regression_tree", _tree_sql(1))
+def q_regression_tree(spark, d):
+    """A saved tree without bootstrap, read as node rows and walked by joins."""
+    return _tree_table_forecast(spark, d, "random_forest", {"n_estimators": 1, "max_depth": TREE_DEPTH, "bootstrap": False})
+
+
+@query("boosted_trees", _tree_sql(BOOST_ROUNDS))
+def q_boosted_trees(spark, d):
+    """Saved boosted trees, read as node rows and walked by joins."""
+    return _tree_table_forecast(spark, d, "boosted", {"n_estimators": BOOST_ROUNDS, "max_depth": TREE_DEPTH, "learning_rate": BOOST_RATE})
+
+
 def _model_rows_ctes() -> list[tuple[str, str]]:
     """Complete model rows with their feature list, split at the threshold."""
     cols = _mm_columns()

@@ -11,12 +11,14 @@ from gridcast.roles import DEFAULT_ROLES, Roles
 
 
 def panel_join(frames: Sequence[DataFrame], roles: Roles = DEFAULT_ROLES,
-               suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
+               suffixes: tuple[str, str] = ("_x", "_y"), null_keys: bool = True) -> DataFrame:
     """Inner-join panels on ``(group, time)``, folding left to right.
 
     NULL keys match NULL keys (null-safe equality; still an equi-join, so
     Spark plans a hash/sort-merge join shuffled on the key). Non-key names
     present on both sides get ``_x`` (left) / ``_y`` (right) suffixes.
+    ``null_keys=False`` leaves rows with NULL keys out: a sort-merge join on the
+    plain keys, which bucketed tables need no shuffle for.
     """
     if not frames:
         raise ValueError("panel_join needs at least one frame")
@@ -30,9 +32,9 @@ def panel_join(frames: Sequence[DataFrame], roles: Roles = DEFAULT_ROLES,
         r = r.withColumnsRenamed(rk)
         cond = None
         for k in keys:
-            e = left[k].eqNullSafe(r[rk[k]])
+            e = left[k].eqNullSafe(r[rk[k]]) if null_keys else left[k] == r[rk[k]]
             cond = e if cond is None else cond & e
-        out = left.join(r, cond, "inner").drop(*rk.values())
+        out = left.join(r if null_keys else r.hint("merge"), cond, "inner").drop(*rk.values())
     return out
 
 

@@ -146,6 +146,20 @@ def q_panel_scan(spark, d):
     return read_panel_files(spark, folder)
 
 
+@query("colocated_join", _PANEL_SQL)
+def q_colocated_join(spark, d):
+    """Three panels stored as bucketed tables and joined without a shuffle."""
+    from gridcast.sources.colocated import colocated_join, write_colocated
+
+    weather = fx.weather_hour(spark, d)
+    wind = [c for c in weather.columns if c.startswith("wind")]
+    parts = (fx.power_hour(spark, d), weather.select(R.group, R.time, *wind), weather.drop(*wind))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    run = uuid.uuid4().hex
+    return colocated_join([write_colocated(p, f"panel_{run}_{i}", f"{checkpoint_dir(spark)}/panel-{run}/{i}", buckets)
+                           for i, p in enumerate(parts)])
+
+
 @query("hourly_grid", O.with_ctes(O.base_ctes("power_hour") + [PN, ("b", f"""
 select site_name, unnest(generate_series(min(delivery_time), max(delivery_time), interval 1 hour)) as delivery_time
 from pn group by site_name""")], f"""

@@ -75,7 +75,9 @@ class Words:
     def __init__(self, codes: np.ndarray):
         is_letter = letters(codes)
         c = np.where(is_letter, codes, 0).astype(np.uint64)
-        c = np.concatenate(([0], c, [0])).astype(np.uint64)  # 0 stands for a word border
+        # 0 stands for a word border; as many in front as grams reach back, so that a word's
+        # grams are the same wherever it stands
+        c = np.concatenate((np.zeros(NGRAM, np.uint64), c, [0])).astype(np.uint64)
         inside = c > 0
         first = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1
         end = np.flatnonzero(inside[:-1] & ~inside[1:]) + 1

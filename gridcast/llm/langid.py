@@ -229,7 +229,10 @@ def pair_marginals(x: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def fit(texts: list[str], labels: np.ndarray, k: int, lexicon: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and transitions from whole texts with one label each."""
+    """Weights and transitions from whole texts with one label each.
+
+    A sequence's start scores follow from the transitions (a step from a uniform
+    label); a gradient step holds them as they are."""
     rng = np.random.default_rng(seed)
     parts = [(Words(c), y) for t, y in zip(texts, labels, strict=True) for c in slices(code_points(t))]
     parts = [(w, y) for w, y in parts if w.n]

@@ -12,6 +12,7 @@ from gridcast.session import checkpoint_dir
 
 HOT_LEAST = 10_000
 BROADCAST_ROWS = 200_000
+BATCH_BYTES = 8 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -78,6 +79,15 @@ def give_back() -> None:
         trim(0)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Send Python workers at most ``BATCH_BYTES`` of texts at once (Spark's own bound is 64 MB, held
+    on both sides of the pipe), unless the session sets a smaller bound."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).lower().rstrip("b")
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def finite_vector(vector: Column) -> Column:
     """True for an array that is not null and holds no null, NaN or infinity."""
     return vector.isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))

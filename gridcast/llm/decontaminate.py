@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import fresh, give_back, set_aside, table, written
+from gridcast.llm.common import bound_batches, fresh, give_back, set_aside, table, written
 
 WINDOW = 10
 MAX_WINDOWS = 200_000
@@ -117,6 +117,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     """``docs`` plus ``n_words, n_hit, n_items, items_sha256, contaminated``
     and ``hit_spans`` (first and end word of each merged hit)."""
     sc = docs.sparkSession.sparkContext
+    bound_batches(docs.sparkSession)
     wins = written(benchmark_windows(benchmark, item_id_col, item_text_col, window))
     passes = max(1, -(-wins.count() // max_windows))
     df = set_aside(docs, *ADDED, "hit_spans")

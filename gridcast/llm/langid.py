@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import fresh, give_back, set_aside, table
+from gridcast.llm.common import bound_batches, fresh, give_back, set_aside, table
 from gridcast.llm.quality import fold
 
 BITS = 16
@@ -98,7 +98,7 @@ class Words:
                 h = h * MULT
                 h[k:] += np.where(past[k:], 0, c[:len(c) - k]).astype(np.uint64) + np.uint64(k + 1)
                 g = (h ^ (h >> np.uint64(31))) * MULT
-                grams.append((g >> np.uint64(64 - BITS)).astype(np.int32)[at])
+                grams.append((g >> np.uint64(64 - BITS)).astype(np.min_scalar_type((1 << BITS) - 1))[at])
             w = (c[at] + np.uint64(7)) * MULT
             place = np.arange(len(at)) - np.repeat(self.first, np.diff(np.append(self.first, len(at))))
             power = np.cumprod(np.full(64, MULT | np.uint64(2), np.uint64))
@@ -252,6 +252,7 @@ def fit(texts: list[str], labels: np.ndarray, k: int, lexicon: np.ndarray, seed:
         entry.append(p.entry(lexicon) if len(lexicon) else np.full(p.n, -1))
         root.append(np.sqrt(p.length + 1.0))
         base += total
+        p.grams = []  # held once
     g_first, g_count, grams, y, entry, root = map(np.concatenate, (g_first, g_count, grams, y, entry, root))
     # code-switched sequences: runs of neighbouring words, in random order, one after the other
     runs, at = [], 0
@@ -419,6 +420,7 @@ def train(rows: DataFrame, per_language: int = PER_LANGUAGE, shards: int = SHARD
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` plus ``lang_pred`` and ``lang_score``."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang string, score double")

@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import BROADCAST_ROWS, fresh, give_back, join_hot, table, written, written_with
+from gridcast.llm.common import BROADCAST_ROWS, bound_batches, fresh, give_back, join_hot, table, written, written_with
 from gridcast.llm.decontaminate import KEEP
 
 SHINGLE = 5
@@ -255,6 +255,7 @@ class NearDuplicates:
                  threshold: float = THRESHOLD, recall: float = RECALL, max_hashes: int = MAX_HASHES):
         self.shingle, self.threshold = shingle, threshold
         self.bands, self.rows = band_shape(threshold, recall, max_hashes)
+        bound_batches(docs.sparkSession)
         self.text = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"),
                                 F.xxhash64(F.col(f"`{text_col}`")).alias("th"))
         bands, rows = self.bands, self.rows

@@ -27,6 +27,7 @@ from gridcast.plans.pipeline import FeatureConfig, PlateauConfig, process
 from gridcast.roles import DEFAULT_ROLES
 from gridcast.session import checkpoint_dir, use_utc
 from gridcast.sources import fixtures as fx
+from gridcast.sources import results
 from gridcast.sources.parquet import read_panel_files
 
 R = DEFAULT_ROLES
@@ -407,6 +408,57 @@ def q_model_matrix(spark, d):
     return model_frame(spark, d)
 
 
+# the toggles: no plateau flags, imputation, weather or lag columns; flags and lags, but no imputation
+_BARE_CFG = POWER_CFG.with_(plateau=PlateauConfig(enabled=False), imputation=False, weather_features=False, lag_features=False)
+_UNFILLED_CFG = POWER_CFG.with_(imputation=False)
+
+
+def _toggled_sql(weather: bool, lagged: bool) -> str:
+    """The feature pipeline without imputation, and without the parts that are off."""
+    stages = O.base_ctes("power_hour", "weather_hour") + [
+        ("j", "select p.*, w.* exclude (site_name, delivery_time) from power_hour p join weather_hour w "
+              "on p.site_name = w.site_name and p.delivery_time = w.delivery_time"), ("jn", O.normalized("j"))]
+    stages += O.plateau_ctes("jn", "pf") if lagged else []
+    stages += [("rq", O.required_sql("pf" if lagged else "jn")), ("cal", O.calendar_sql("rq")),
+               ("rc", f"select * replace (production / installed_capacity as {Y}) from cal"),
+               ("wf", O.weather_sql("rc") if weather else "select * from rc"),
+               ("lg", O.lag_sql("wf", list(POWER_LAGS), 24, list(POWER_ROLLING), O.HOUR_US, "h") if lagged else "select * from wf"),
+               ("ph", O.physics_sql("lg"))]
+    whole = {"site_name", "delivery_time", "hour", "day_of_week", "month", "is_weekend", "is_night"}
+    cols = [c if c in whole else O.rd(c, c) for c in _toggled_columns(weather, lagged)]
+    return O.with_ctes(stages, f"select {', '.join(cols)} from ph")
+
+
+def _toggled_columns(weather: bool, lagged: bool) -> list[str]:
+    return (["site_name", "delivery_time", "production", "installed_capacity", Y, *_W_BASE] + O.CALENDAR_COLS
+            + (O.WEATHER_COLS if weather else []) + O.PHYSICS_COLS
+            + ([f"production_lag{L}h" for L in POWER_LAGS] + lags.rolling_names(POWER_ROLLING) if lagged else []))
+
+
+@query("features_toggled_off", _toggled_sql(False, False))
+def q_features_toggled_off(spark, d):
+    """Plateau flags, imputation, weather and lag columns switched off; physics stays (quirk 18)."""
+    x = process(_joined(spark, d), R, _BARE_CFG)
+    spare = set(O.WEATHER_COLS) | {"is_not_plateau"}
+    if extra := [c for c in x.columns if c in spare or c.startswith("production_") and c != Y]:
+        raise ValueError(f"columns of features that are off: {extra}")
+    return x.select(*_toggled_columns(False, False))
+
+
+@query("features_unimputed", _toggled_sql(True, True))
+def q_features_unimputed(spark, d):
+    """Imputation switched off, plateau flags, weather and lag columns on."""
+    return process(_joined(spark, d), R, _UNFILLED_CFG).select(*_toggled_columns(True, True))
+
+
+@query("untargeted_flags", O.with_ctes(O.base_ctes("weather_hour"), """
+select site_name, delivery_time, wind_speed_100m * 1.0e0 as wind_speed_100m, true as is_not_plateau from weather_hour"""))
+def q_untargeted_flags(spark, d):
+    """A panel without the target column has no plateau."""
+    w = fx.weather_hour(spark, d)
+    return quality.plateau_flags(w.select(R.group, R.time, "wind_speed_100m"))
+
+
 # ------------------------------------------------------------- sequences
 
 def _seq_ctes():
@@ -553,6 +605,17 @@ def q_group_metrics(spark, d):
     return metrics.group_metrics(_persistence(spark, d))
 
 
+@query("result_files", O.with_ctes(O.base_ctes("power_hour") + [PN] + _PERSIST, f"""
+select k.kind, "group", {O.rd('avg(abs(y_pred - y_true))', 'mae')}, {O.rd('sqrt(avg((y_pred - y_true)^2))', 'rmse')}
+from pf cross join (select unnest(['by_group', 'combined']) as kind) k group by k.kind, "group" """))
+def q_result_files(spark, d):
+    """Errors per site written as CSV, one folder per site and one combined file, and both read back."""
+    rows = metrics.group_metrics(_persistence(spark, d)).select("group", "mae", "rmse")
+    base = f"{checkpoint_dir(spark)}/results-{uuid.uuid4().hex}"
+    results.write_csv(rows, base, "group")
+    return results.read_csv(spark, base, rows.schema, "group")
+
+
 @query("global_metrics", O.with_ctes(O.base_ctes("power_hour") + [PN] + _PERSIST, f"""
 select {O.rd('avg(abs(y_pred - y_true))', 'eval_mae')}, {O.rd('sqrt(avg((y_pred - y_true)^2))', 'eval_rmse')},
   {O.rd('case when avg(y_true) <> 0 then sqrt(avg((y_pred - y_true)^2)) / avg(y_true) else 0 end', 'eval_nrmse')},

@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as E
 
 SQL_CHECKED = ["normalize_target", "plateau_flags", "impute_target", "lag_features", "model_matrix",
-               "time_folds", "knn_regression", "portfolio_metrics"]
+               "time_folds", "knn_regression", "portfolio_metrics", "features_toggled_off", "result_files"]
 
 
 def test_contract_keys():

@@ -12,10 +12,12 @@ triangle inequality gives
 
 Only cells whose lower bound is at most ``B`` are visited by ``q`` (rows are
 co-grouped on the cell id), so the answer is exact while far cells are never
-paired. Within a visited cell the distances are computed block-wise with
-NumPy on Arrow batches (a built-in higher-order-function distance is
-interpreted per element and was the bottleneck); each block returns only
-its k nearest rows per query. Neighbours are ranked by ``(distance, id)``; prediction follows the
+paired. Within a visited cell, blocks of rows meet blocks of queries in NumPy:
+a matrix product gives all their distances up to a known rounding error, and only
+the pairs that can be among a query's k nearest of the block are measured by the
+plain formula and returned. Where pruning finds nothing (many evenly spread
+dimensions) the pairs stay quadratic, at about the cost of the product.
+Neighbours are ranked by ``(distance, id)``; prediction follows the
 usual rules: uniform mean, or ``1/d`` weights where a zero distance makes
 only the zero-distance neighbours count.
 """
@@ -25,13 +27,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
+
+BLOCK_ROWS = 32_768  # most rows and queries of a block
+BLOCK_VALUES = 2**21  # most vector components of a block's rows
 
 
 def _vec(df: DataFrame, features: str | Sequence[str]) -> Column:
     if isinstance(features, str):
+        if isinstance(df.schema[features].dataType.elementType, FloatType):
+            return F.col(features)  # travels as it is, half as wide
         return F.transform(F.col(features), lambda x: x.cast("double"))
     return F.array(*[F.col(c).cast("double") for c in features])
 
@@ -82,7 +91,7 @@ def knn_regress(train: DataFrame, query: DataFrame, *, features: str | Sequence[
 
 
 def knn_neighbors(train: DataFrame, query: DataFrame, *, features: str | Sequence[str], target: str, train_id: str, query_id: str,
-                  k: int = 25, p: int = 2, exclude_self: bool = False, n_pivots: int = 16, seed: int = 42, block_rows: int = 4096,
+                  k: int = 25, p: int = 2, exclude_self: bool = False, n_pivots: int = 16, seed: int = 42, block_rows: int | None = None,
                   segment: str | None = None) -> DataFrame:
     """The ``k`` nearest training rows of every query row: ``_qid, _tid, _d, _y``
     and the rank ``_rn`` from 1, ties by id.
@@ -101,9 +110,11 @@ def knn_neighbors(train: DataFrame, query: DataFrame, *, features: str | Sequenc
     if not pivots:
         raise ValueError("knn_regress needs training rows")
     P = len(pivots)
+    block_rows = block_rows or min(BLOCK_ROWS, max(256, BLOCK_VALUES // max(1, len(pivots[0]))))
     piv = [F.array(*[F.lit(float(x)) for x in v]) for v in pivots]
 
     def pivot_dists(v: Column) -> Column:
+        v = F.transform(v, lambda x: x.cast("double"))
         return F.array(*[distance(v, pv, p) for pv in piv])
 
     t = (t.withColumn("_pd", pivot_dists(F.col("_v")))
@@ -148,47 +159,128 @@ def knn_neighbors(train: DataFrame, query: DataFrame, *, features: str | Sequenc
           .withColumn("_blk", F.explode(F.sequence(F.lit(0), F.element_at(nblk_arr, F.col("_cell") + 1) - 1))))
     tb = tb.withColumn("_qb", F.explode(F.sequence(F.lit(0), F.element_at(nq_arr, F.col("_cell") + 1) - 1)))
     keys = ["_cell", "_blk", "_qb"]
-    pairs = (qc.select(*keys, "_qid", "_qv", "_B", "_lim").groupBy(*keys)
-             .cogroup(tb.select(*keys, "_tid", "_v", "_y", "_seg").groupBy(*keys))
-             .applyInPandas(_block_topk(k, p, exclude_self), "_qid long, _tid long, _d double, _y double"))
+    # a stated number of partitions: merged by their bytes, few tasks would get most of the pairs
+    parts = min(2000, 2 * sum(a * b for a, b in zip(nblk, nq, strict=True)))
+    pairs = (qc.select(*keys, "_qid", "_qv", "_B", "_lim").repartition(parts, *keys).groupBy(*keys)
+             .cogroup(tb.select(*keys, "_tid", "_v", "_y", "_seg").repartition(parts, *keys).groupBy(*keys))
+             .applyInArrow(_block_topk(k, p, exclude_self), "_qid long, _tid long, _d double, _y double"))
     w = Window.partitionBy("_qid").orderBy("_d", "_tid")
     return pairs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
 
 
-def _block_topk(k: int, p: int, exclude_self: bool, batch: int = 16):
-    """Per (cell, sub-block): exact distances of the visiting queries to the
-    block's training rows with NumPy, keeping each query's first ``k`` rows
-    in ``(distance, id)`` order, the order of the final ranking in Spark; a
+def _matrix(vectors: pa.ChunkedArray) -> np.ndarray:
+    return pc.list_flatten(vectors).to_numpy().astype(np.float64).reshape(len(vectors), -1)
+
+
+def _ids(ids: pa.ChunkedArray) -> np.ndarray:
+    return pc.fill_null(ids, np.iinfo(np.int64).min).to_numpy()
+
+
+def measured(Q: np.ndarray, T: np.ndarray, p: int, pairs: int = 65_536) -> np.ndarray:
+    """Distances of the rows of ``Q`` to those of ``T``, pair by pair."""
+    out = np.empty(len(Q))
+    for s in range(0, len(Q), pairs):
+        diff = Q[s:s + pairs] - T[s:s + pairs]
+        out[s:s + pairs] = np.abs(diff).sum(-1) if p == 1 else np.sqrt((diff * diff).sum(-1))
+    return out
+
+
+def first_copies(T: np.ndarray, seg: np.ndarray, least: int) -> np.ndarray:
+    """Places of the first ``least`` rows of every vector and segment: of equal rows, the others never rank."""
+    whole = np.ascontiguousarray(np.column_stack((T, seg.astype(np.float64))))
+    _, group, size = np.unique(whole.view(np.dtype((np.void, whole.itemsize * whole.shape[1]))).ravel(),
+                               return_inverse=True, return_counts=True)
+    if size.max(initial=0) <= least:
+        return np.arange(len(T))
+    order = np.argsort(group, kind="stable")
+    place = np.empty(len(T), np.int64)
+    place[order] = np.arange(len(T)) - np.repeat(np.cumsum(size) - size, size)
+    return np.flatnonzero(place < least)
+
+
+def screened(Q: np.ndarray, T: np.ndarray, p: int, work: int = 2**20):
+    """Batches of queries: their slice, a number per training row that ascends with the distance,
+    the numbers of given distances, and how far rounding may have moved any two numbers apart.
+
+    Single precision serves where the rows' spread is not small beside their size; the
+    rounding allowed for follows the precision, so it decides how many pairs are measured and nothing else."""
+    norm = (lambda V: np.abs(V).sum(1)) if p == 1 else (lambda V: (V * V).sum(1))
+    with np.errstate(over="ignore", invalid="ignore"):
+        qn, tn = norm(Q), norm(T)
+        size = qn.max() + tn.max()
+        kind = np.float32 if p == 2 and 1e-12 < size < 1e30 and norm(T - T.mean(0)).mean() > size / 100 else np.float64
+        slack = 16 * (Q.shape[1] + 8) * (np.finfo(kind).eps * (qn + tn.max()) + np.finfo(kind).tiny)
+        wild = ~np.isfinite(slack)  # too large to screen: all are measured
+        slack[wild] = 0.0
+        T2 = np.ascontiguousarray(np.column_stack((-2 * T, tn)).T, dtype=kind)
+        Q2 = np.column_stack((Q, np.ones(len(Q)))).astype(kind)
+    step = max(1, work // len(T))
+    room = np.empty((step, len(T)), kind)
+    for s in range(0, len(Q), step):
+        at = slice(s, min(s + step, len(Q)))
+        A = room[:at.stop - s]
+        with np.errstate(over="ignore", invalid="ignore"):
+            if p == 1:
+                A[:] = 0.0
+                for j in range(Q.shape[1]):
+                    A += np.abs(Q[at, j, None] - T[None, :, j])
+            else:
+                np.matmul(Q2[at], T2, out=A)
+        A[wild[at]] = 0.0
+        yield at, A, (lambda d, at=at: d if p == 1 else np.where(wild[at], np.inf, d * d - qn[at])), slack[at]
+
+
+def kth_bound(A: np.ndarray, k: int) -> np.ndarray:
+    """An upper bound, close, on the k-th smallest number of every row: that of the minima of strips."""
+    strips = max(8 * k, 256)
+    if A.shape[1] >= 2 * strips:
+        each = A.shape[1] // strips
+        A = A[:, :each * strips].reshape(len(A), each, strips).min(axis=1)
+    return np.partition(A, k - 1, axis=1)[:, k - 1]
+
+
+def _block_topk(k: int, p: int, exclude_self: bool):
+    """Per block of rows and block of queries: every query's first ``k`` rows in
+    ``(distance, id)`` order, the order of the final ranking in Spark; a
     block returns at most ``k`` rows per query however many are tied."""
-    def fn(qp: pd.DataFrame, tp: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"_qid": pd.Series([], dtype="int64"), "_tid": pd.Series([], dtype="int64"),
-                              "_d": pd.Series([], dtype="float64"), "_y": pd.Series([], dtype="float64")})
-        if qp.empty or tp.empty:
-            return empty
-        tp = tp.sort_values("_tid")
-        T = np.stack(tp["_v"].to_numpy()).astype(np.float64)
-        tid = tp["_tid"].to_numpy(np.int64)
-        ty = tp["_y"].to_numpy(np.float64)
-        Q = np.stack(qp["_qv"].to_numpy()).astype(np.float64)
-        qid = qp["_qid"].to_numpy(np.int64)
-        bound = qp["_B"].to_numpy(np.float64)
-        hidden = tp["_seg"].to_numpy()[None, :] >= qp["_lim"].to_numpy()[:, None]
-        kk = min(k + (1 if exclude_self else 0), len(tid))
-        out = []
-        for s in range(0, len(qid), batch):
-            diff = Q[s:s + batch, None, :] - T[None, :, :]
-            D = np.abs(diff).sum(-1) if p == 1 else np.sqrt((diff * diff).sum(-1))
-            D[hidden[s:s + batch]] = np.inf
-            if exclude_self:
-                D[qid[s:s + batch, None] == tid[None, :]] = np.inf
-            kth = np.partition(D, kk - 1, axis=1)[:, kk - 1:kk]
-            nearer, tied = D < kth, D == kth
-            room = kk - nearer.sum(axis=1, keepdims=True)  # ties go to the least ids
-            first = nearer | (tied & (np.cumsum(tied, axis=1) <= room))
-            mask = first & (D <= bound[s:s + batch, None]) & np.isfinite(D)
-            qi, ti = np.nonzero(mask)
-            out.append(pd.DataFrame({"_qid": qid[s:s + batch][qi], "_tid": tid[ti], "_d": D[qi, ti],
-                                     "_y": ty[ti]}))
-        return pd.concat(out, ignore_index=True) if out else empty
+    def fn(qp: pa.Table, tp: pa.Table) -> pa.Table:
+        found = []
+        if qp.num_rows and tp.num_rows:
+            need = k + (1 if exclude_self else 0)
+            tid = _ids(tp["_tid"])
+            order = np.argsort(tid, kind="stable")
+            tid, T, seg = tid[order], _matrix(tp["_v"])[order], tp["_seg"].to_numpy()[order]
+            same_id = int(np.unique(tid, return_counts=True)[1].max()) if exclude_self else 0
+            use = np.flatnonzero(np.isfinite(T).all(1))
+            use = use[first_copies(T[use], seg[use], need + same_id)]
+            order, tid, T, seg = order[use], tid[use], T[use], seg[use]
+            Q, qid, lim, bound = _matrix(qp["_qv"]), _ids(qp["_qid"]), qp["_lim"].to_numpy(), qp["_B"].to_numpy()
+            ok = np.isfinite(Q).all(1)
+            Q, qid, lim, bound = Q[ok], qid[ok], lim[ok], bound[ok]
+            if len(Q) and len(T):
+                y = tp["_y"].to_numpy()[order]
+                hides = seg.max() >= lim.min()
+                for at, A, as_screened, slack in screened(Q, T, p):
+                    if hides:
+                        A[seg[None, :] >= lim[at, None]] = np.inf
+                    if exclude_self:
+                        first, end = np.searchsorted(tid, qid[at]), np.searchsorted(tid, qid[at], side="right")
+                        for i in np.flatnonzero(end > first):
+                            A[i, first[i]:end[i]] = np.inf
+                    with np.errstate(over="ignore", invalid="ignore"):
+                        cut = np.minimum(kth_bound(A, min(need, len(T))), as_screened(bound[at])) + slack
+                        cut = np.nextafter(cut.astype(A.dtype), A.dtype.type(np.inf))
+                    cut = np.minimum(cut, np.finfo(A.dtype).max)  # what is hidden never passes
+                    qi, ti = np.divmod(np.flatnonzero(A <= cut[:, None]), len(T))
+                    d = measured(Q[at][qi], T[ti], p)
+                    rank = np.lexsort((ti, d, qi))
+                    qi, ti, d = qi[rank], ti[rank], d[rank]
+                    keep = np.arange(len(qi)) - np.searchsorted(qi, qi) < need
+                    keep &= (d <= bound[at][qi]) & np.isfinite(d)
+                    found.append((qid[at][qi[keep]], tid[ti[keep]], d[keep], y[ti[keep]]))
+        parts = [np.concatenate(c) for c in zip(*found)] if found else [np.empty(0)] * 4
+        types = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
+        return pa.table([pa.array(c, t, from_pandas=True) for c, t in zip(parts, types, strict=True)],
+                        names=["_qid", "_tid", "_d", "_y"])
 
     return fn

@@ -99,3 +99,40 @@ def test_large_values_pass_finish_unchanged(spark):
 
     df = spark.createDataFrame([(1e11, 0.1234567891234)], "a double, b double")
     assert tuple(finish(df, frozenset({"a"})).first()) == (1e11, 0.1234567891234)
+
+
+def _block(n, dims, seed, copies=1):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(seed)
+    V = np.repeat(rng.normal(size=(n // copies, dims)), copies, axis=0).astype(np.float32)
+    ids = rng.permutation(n).astype(np.int64)
+    rows = pa.table({"_tid": ids, "_v": pa.array(list(V), pa.list_(pa.float32())), "_y": ids / 7.0, "_seg": pa.array([-1] * n, pa.int32())})
+    queries = pa.table({"_qid": ids, "_qv": rows["_v"], "_B": np.full(n, np.inf), "_lim": pa.array([0] * n, pa.int32())}).slice(0, 300)
+    return V.astype(float), ids, rows, queries
+
+
+@pytest.mark.parametrize("dims,copies,p,shift", [(64, 1, 2, 0.0), (64, 1000, 2, 0.0), (5, 1, 1, 0.0), (8, 4, 2, 1e6), (8, 1, 2, 1e200)])
+def test_knn_block_measures_few_pairs_and_loses_none(monkeypatch, dims, copies, p, shift):
+    """Most pairs of a block are ruled out by a matrix product, copies too; ids, ties and distances are those of the plain formula."""
+    import pyarrow as pa
+
+    from gridcast.operators import knn
+
+    V, ids, rows, queries = _block(3000, dims, 3, copies)
+    V = V + shift if shift < 1e100 else V * shift
+    again = lambda t, c, v: t.set_column(t.schema.get_field_index(c), c, pa.array(list(v), pa.list_(pa.float64())))
+    rows, queries = again(rows, "_v", V), again(queries, "_qv", V[:300])
+    pairs = []
+    plain = knn.measured
+    monkeypatch.setattr(knn, "measured", lambda Q, T, p: pairs.append(len(Q)) or plain(Q, T, p))
+    got = knn._block_topk(5, p, True)(queries, rows).to_pandas()
+    with np.errstate(over="ignore"):
+        for i in range(0, 300, 7):
+            diff = V[i] - V
+            d = np.abs(diff).sum(1) if p == 1 else np.sqrt((diff * diff).sum(1))
+            best = [j for j in np.lexsort((ids, d)) if ids[j] != ids[i] and np.isfinite(d[j])][:6]
+            mine = got[got["_qid"] == ids[i]]
+            assert list(mine["_tid"]) == list(ids[best]) and list(mine["_d"]) == list(d[best])
+    if shift < 1e100:  # what is too large for the product is measured whole
+        assert sum(pairs) < 0.02 * 300 * 3000
